@@ -1,11 +1,11 @@
 """All queries of the core."""
 
-from marketloom.plans import dealt
+from marketloom.plans import candidates, cleaning, dealt
 from marketloom.plans.registry import Registry
 
 
 def core() -> Registry:
     registry = Registry()
-    for family in (dealt,):
+    for family in (dealt, cleaning, candidates):
         registry.merge(family.REGISTRY)
     return registry
