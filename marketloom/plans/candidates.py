@@ -196,8 +196,8 @@ def recent_views(t: Tables, days: int = 14) -> DataFrame:
 INTENT = """
     known AS (SELECT * FROM dim_listing WHERE ad_status = 'active'),
     seen AS (SELECT e.user_id, k.* FROM fact_user_events e JOIN known k USING (item_id) WHERE e.event_type = 'pageview' AND e.event_ts >= TIMESTAMP '2026-03-26' AND e.user_id IS NOT NULL),
-    i1 AS (SELECT user_id, district_name, category, price_bucket FROM seen GROUP BY ALL QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY count(*) DESC, district_name NULLS FIRST, category NULLS FIRST, price_bucket NULLS FIRST) = 1),
-    i2 AS (SELECT user_id, city_name, category FROM seen GROUP BY ALL QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY count(*) DESC, city_name NULLS FIRST, category NULLS FIRST) = 1),
+    i1 AS (SELECT user_id, district_name, category, price_bucket FROM seen GROUP BY 1, 2, 3, 4 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY count(*) DESC, district_name NULLS FIRST, category NULLS FIRST, price_bucket NULLS FIRST) = 1),
+    i2 AS (SELECT user_id, city_name, category FROM seen GROUP BY 1, 2, 3 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY count(*) DESC, city_name NULLS FIRST, category NULLS FIRST) = 1),
     f1 AS (SELECT *, row_number() OVER (PARTITION BY district_name, category, price_bucket ORDER BY posted_date DESC NULLS LAST, item_id) AS r FROM known),
     f2 AS (SELECT *, row_number() OVER (PARTITION BY city_name, category ORDER BY posted_date DESC NULLS LAST, item_id) AS r FROM known),
     lists AS (SELECT user_id, item_id, r AS pos FROM i1 JOIN f1 ON i1.district_name IS NOT DISTINCT FROM f1.district_name AND i1.category IS NOT DISTINCT FROM f1.category AND i1.price_bucket IS NOT DISTINCT FROM f1.price_bucket
