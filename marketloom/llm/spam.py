@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.llm.text import NOT_WORD, fold
+from marketloom.session import cut_lineage
 
 #: Words in a window.
 WINDOW = 24
@@ -120,13 +121,15 @@ def text_scores(documents: DataFrame, doc: str, text: str) -> DataFrame:
     held = held.withColumn("t1", F.xxhash64("text")).withColumn("t2", F.xxhash64(F.lit(1), F.col("text")))
     # a copy of a text in another task gives the same rows: distinct drops them where they meet, by pair
     rows = pair_rows(held.select("t1", "t2", "text")).repartition("pair").distinct()
-    pairs = rows.groupBy("pair").agg(F.sum("n").alias("total"))
+    # read four times below: without the cut, each would scan all texts again
+    pairs = cut_lineage(rows.groupBy("pair").agg(F.sum("n").alias("total")))
     pairs = pairs.withColumn("a", F.shiftright("pair", 32)).withColumn("b", F.col("pair").bitwiseAND(F.lit(0xFFFFFFFF)))
     first = pairs.groupBy("a").agg(F.sum("total").alias("as_first"))
     second = pairs.groupBy("b").agg(F.sum("total").alias("as_second"))
     everything = pairs.agg(F.sum("total")).scalar()
     known = pairs.join(first, "a").join(second, "b").select("pair", "total", "as_first", "as_second")
-    met = rows.join(known, "pair").withColumn("corpus", everything.cast("double"))
+    # one row a pair on the build side, at most the distinct pairs of a partition
+    met = rows.join(known.hint("shuffle_hash"), "pair").withColumn("corpus", everything.cast("double"))
     chance = F.col("as_first").cast("double") * F.col("as_second") / F.col("corpus")
     # twice the text's own count goes off, so that one near copy of it is no evidence
     elsewhere = F.greatest(F.col("total") - 2 * F.col("n_pair"), F.lit(0))
