@@ -16,7 +16,10 @@ from marketloom.sources.tables import Tables
 
 REGISTRY = Registry()
 query = REGISTRY.query
-N = F.count(F.lit(1))
+
+
+def rows() -> Column:
+    return F.count(F.lit(1))
 
 
 def r6(c: Column, name: str) -> Column:
@@ -68,7 +71,7 @@ def e1_table_profile(t: Tables) -> DataFrame:
 @query("e2_null_rate_by_category", "SELECT category, count(*) AS n, round(100.0 * avg((bedrooms IS NULL)::INT), 6) AS bedrooms_null, round(100.0 * avg((legal_status IS NULL)::INT), 6) AS legal_null, round(100.0 * avg((furnishing IS NULL)::INT), 6) AS furnishing_null FROM dim_listing GROUP BY 1")
 def e2_null_rate_by_category(t: Tables) -> DataFrame:
     rate = lambda x, out: r6(100.0 * F.avg(F.col(x).isNull().cast("int")), out)
-    return t.listings.groupBy("category").agg(N.alias("n"), rate("bedrooms", "bedrooms_null"), rate("legal_status", "legal_null"), rate("furnishing", "furnishing_null"))
+    return t.listings.groupBy("category").agg(rows().alias("n"), rate("bedrooms", "bedrooms_null"), rate("legal_status", "legal_null"), rate("furnishing", "furnishing_null"))
 
 
 @query(
@@ -78,7 +81,7 @@ def e2_null_rate_by_category(t: Tables) -> DataFrame:
 def e3_user_overlap(t: Tables) -> DataFrame:
     flag = lambda df, name: df.select("user_id").filter("user_id is not null").distinct().withColumn(name, F.lit(1))
     users = t.pci.select("user_id").filter("user_id is not null").distinct()
-    return users.join(flag(t.events, "e"), "user_id", "left").join(flag(t.contact_pairs, "c"), "user_id", "left").agg(N.alias("n_users"), F.count("e").alias("in_events"), F.count("c").alias("in_contacts"))
+    return users.join(flag(t.events, "e"), "user_id", "left").join(flag(t.contact_pairs, "c"), "user_id", "left").agg(rows().alias("n_users"), F.count("e").alias("in_events"), F.count("c").alias("in_contacts"))
 
 
 @query(
@@ -88,12 +91,12 @@ def e3_user_overlap(t: Tables) -> DataFrame:
 def e4_dwell_by_event_type(t: Tables) -> DataFrame:
     known = t.events.filter("dwell_time_sec is not null")
     p = lambda q, name: r6(F.percentile("dwell_time_sec", q) / 1000, name)
-    return known.groupBy("event_type").agg(N.alias("n"), r6(F.avg("dwell_time_sec") / 1000, "mean_s"), p(0.5, "median_s"), p(0.25, "p25_s"), p(0.75, "p75_s"))
+    return known.groupBy("event_type").agg(rows().alias("n"), r6(F.avg("dwell_time_sec") / 1000, "mean_s"), p(0.5, "median_s"), p(0.25, "p25_s"), p(0.75, "p75_s"))
 
 
 @query("e5_event_contact_crosstab", "SELECT event_type, count(*) FILTER (WHERE is_contact = 0) AS contact_0, count(*) FILTER (WHERE is_contact = 1) AS contact_1 FROM fact_user_events GROUP BY 1")
 def e5_event_contact_crosstab(t: Tables) -> DataFrame:
-    return t.events.groupBy("event_type").pivot("is_contact", [0, 1]).agg(N).fillna(0).withColumnsRenamed({"0": "contact_0", "1": "contact_1"})
+    return t.events.groupBy("event_type").pivot("is_contact", [0, 1]).agg(rows()).fillna(0).withColumnsRenamed({"0": "contact_0", "1": "contact_1"})
 
 
 ORPHAN_TABLES = ["fact_user_events", "fact_post_contact_interactions", "fact_listing_snapshot", "contact_pairs"]
@@ -114,25 +117,25 @@ def e7_login_split(t: Tables) -> DataFrame:
 
 @query("e8_daily_volume", f"SELECT date, count(*) AS n, count(*) FILTER (WHERE event_type IN {GT}) AS positives, count(DISTINCT user_id) AS n_users FROM fact_user_events GROUP BY 1")
 def e8_daily_volume(t: Tables) -> DataFrame:
-    by_user = t.events.groupBy("date", "user_id").agg(N.alias("n"), F.count_if(is_positive()).alias("positives"))
+    by_user = t.events.groupBy("date", "user_id").agg(rows().alias("n"), F.count_if(is_positive()).alias("positives"))
     return by_user.groupBy("date").agg(F.sum("n").alias("n"), F.sum("positives").alias("positives"), F.count("user_id").alias("n_users"))
 
 
 @query("e9_user_activity", "WITH u AS (SELECT user_id, count(*) AS n FROM fact_user_events WHERE user_id IS NOT NULL GROUP BY 1) SELECT count(*) AS n_users, quantile_cont(n, 0.5) AS p50, round(quantile_cont(n, 0.9), 6) AS p90, round(quantile_cont(n, 0.99), 6) AS p99, max(n) AS most FROM u")
 def e9_user_activity(t: Tables) -> DataFrame:
-    n = t.events.filter("user_id is not null").groupBy("user_id").agg(N.alias("n"))
-    return n.agg(N.alias("n_users"), *[r6(F.percentile("n", q), f"p{round(q * 100)}") for q in (0.5, 0.9, 0.99)], F.max("n").alias("most"))
+    n = t.events.filter("user_id is not null").groupBy("user_id").agg(rows().alias("n"))
+    return n.agg(rows().alias("n_users"), *[r6(F.percentile("n", q), f"p{round(q * 100)}") for q in (0.5, 0.9, 0.99)], F.max("n").alias("most"))
 
 
 @query("e9_item_popularity", "WITH u AS (SELECT item_id, count(*) AS n FROM fact_user_events WHERE item_id IS NOT NULL GROUP BY 1) SELECT count(*) AS n_items, quantile_cont(n, 0.5) AS p50, round(quantile_cont(n, 0.9), 6) AS p90, round(quantile_cont(n, 0.99), 6) AS p99, max(n) AS most FROM u")
 def e9_item_popularity(t: Tables) -> DataFrame:
-    n = t.events.filter("item_id is not null").groupBy("item_id").agg(N.alias("n"))
-    return n.agg(N.alias("n_items"), *[r6(F.percentile("n", q), f"p{round(q * 100)}") for q in (0.5, 0.9, 0.99)], F.max("n").alias("most"))
+    n = t.events.filter("item_id is not null").groupBy("item_id").agg(rows().alias("n"))
+    return n.agg(rows().alias("n_items"), *[r6(F.percentile("n", q), f"p{round(q * 100)}") for q in (0.5, 0.9, 0.99)], F.max("n").alias("most"))
 
 
 @query("e10_tracker_sessions", f"SELECT session_id, count(*) AS n_events, count(DISTINCT item_id) AS n_items, round(avg(dwell_time_sec), 6) AS avg_dwell, count(*) FILTER (WHERE event_type IN {GT}) AS positives FROM fact_user_events WHERE session_id IS NOT NULL GROUP BY 1")
 def e10_tracker_sessions(t: Tables) -> DataFrame:
-    by_item = t.events.filter("session_id is not null").groupBy("session_id", "item_id").agg(N.alias("n"), F.sum("dwell_time_sec").alias("d"), F.count("dwell_time_sec").alias("k"), F.count_if(is_positive()).alias("p"))
+    by_item = t.events.filter("session_id is not null").groupBy("session_id", "item_id").agg(rows().alias("n"), F.sum("dwell_time_sec").alias("d"), F.count("dwell_time_sec").alias("k"), F.count_if(is_positive()).alias("p"))
     return by_item.groupBy("session_id").agg(F.sum("n").alias("n_events"), F.count("item_id").alias("n_items"), r6(F.try_divide(F.sum("d"), F.sum("k")), "avg_dwell"), F.sum("p").alias("positives"))
 
 
@@ -144,13 +147,13 @@ def e11_contact_funnel_by_category(t: Tables) -> DataFrame:
 
 @query("e12_positives_by_day_and_type", "SELECT date, " + ", ".join(f"count(*) FILTER (WHERE event_type = '{x}') AS {x}" for x in POSITIVE_EVENTS) + f" FROM fact_user_events WHERE event_type IN {GT} GROUP BY 1")
 def e12_positives_by_day_and_type(t: Tables) -> DataFrame:
-    return t.events.filter(is_positive()).groupBy("date").pivot("event_type", POSITIVE_EVENTS).agg(N).fillna(0)
+    return t.events.filter(is_positive()).groupBy("date").pivot("event_type", POSITIVE_EVENTS).agg(rows()).fillna(0)
 
 
 @query("e13_user_funnel", f"WITH u AS (SELECT user_id, count(*) FILTER (WHERE event_type = 'pageview') AS v, count(*) FILTER (WHERE event_type IN {GT}) AS c FROM fact_user_events WHERE user_id IS NOT NULL GROUP BY 1) SELECT count(*) AS n_users, count(*) FILTER (WHERE v > 0) AS viewers, count(*) FILTER (WHERE c > 0) AS contacters, count(*) FILTER (WHERE v > 0 AND c > 0) AS converted FROM u")
 def e13_user_funnel(t: Tables) -> DataFrame:
     u = t.events.filter("user_id is not null").groupBy("user_id").agg(F.count_if(F.col("event_type") == "pageview").alias("v"), F.count_if(is_positive()).alias("c"))
-    return u.agg(N.alias("n_users"), F.count_if(F.col("v") > 0).alias("viewers"), F.count_if(F.col("c") > 0).alias("contacters"), F.count_if((F.col("v") > 0) & (F.col("c") > 0)).alias("converted"))
+    return u.agg(rows().alias("n_users"), F.count_if(F.col("v") > 0).alias("viewers"), F.count_if(F.col("c") > 0).alias("contacters"), F.count_if((F.col("v") > 0) & (F.col("c") > 0)).alias("converted"))
 
 
 BUCKET = "CASE WHEN images_count IS NULL THEN 'unknown' WHEN images_count = 0 THEN '0' WHEN images_count <= 3 THEN '1-3' WHEN images_count <= 7 THEN '4-7' WHEN images_count <= 12 THEN '8-12' ELSE '13+' END"
@@ -165,12 +168,12 @@ def lead_sums(t: Tables) -> DataFrame:
 def e14_leads_by_photos(t: Tables) -> DataFrame:
     i = F.col("images_count")
     bucket = F.when(i.isNull(), "unknown").when(i == 0, "0").when(i <= 3, "1-3").when(i <= 7, "4-7").when(i <= 12, "8-12").otherwise("13+")
-    return lead_sums(t).groupBy(bucket.alias("photos")).agg(N.alias("n_items"), r6(F.avg("n"), "leads"))
+    return lead_sums(t).groupBy(bucket.alias("photos")).agg(rows().alias("n_items"), r6(F.avg("n"), "leads"))
 
 
 @query("e14_leads_by_seller_and_kind", f"WITH {LEADS} SELECT seller_type, ad_type, count(*) AS n_items, round(avg(coalesce(n, 0)), 6) AS leads FROM dim_listing LEFT JOIN leads USING (item_id) GROUP BY 1, 2")
 def e14_leads_by_seller_and_kind(t: Tables) -> DataFrame:
-    return lead_sums(t).groupBy("seller_type", "ad_type").agg(N.alias("n_items"), r6(F.avg("n"), "leads"))
+    return lead_sums(t).groupBy("seller_type", "ad_type").agg(rows().alias("n_items"), r6(F.avg("n"), "leads"))
 
 
 FIELDS = ["area_sqm", "bedrooms", "bathrooms", "floors", "direction", "legal_status", "furnishing"]
@@ -180,14 +183,14 @@ FIELDS = ["area_sqm", "bedrooms", "bathrooms", "floors", "direction", "legal_sta
 def e14_leads_by_completeness(t: Tables) -> DataFrame:
     from marketloom.operators.rules import filled
 
-    return lead_sums(t).groupBy(filled(FIELDS).alias("complete")).agg(N.alias("n_items"), r6(F.avg("n"), "leads"))
+    return lead_sums(t).groupBy(filled(FIELDS).alias("complete")).agg(rows().alias("n_items"), r6(F.avg("n"), "leads"))
 
 
 @query("e15_performance_by_age", "SELECT CASE WHEN listing_age_days <= 7 THEN '0-7' WHEN listing_age_days <= 30 THEN '8-30' WHEN listing_age_days <= 90 THEN '31-90' ELSE '91+' END AS age, count(*) AS n, round(avg(views_24h), 6) AS views, round(avg(contacts_24h), 6) AS contacts FROM fact_listing_snapshot WHERE listing_age_days IS NOT NULL GROUP BY 1")
 def e15_performance_by_age(t: Tables) -> DataFrame:
     a = F.col("listing_age_days")
     age = F.when(a <= 7, "0-7").when(a <= 30, "8-30").when(a <= 90, "31-90").otherwise("91+")
-    return t.snapshots.filter(a.isNotNull()).groupBy(age.alias("age")).agg(N.alias("n"), r6(F.avg("views_24h"), "views"), r6(F.avg("contacts_24h"), "contacts"))
+    return t.snapshots.filter(a.isNotNull()).groupBy(age.alias("age")).agg(rows().alias("n"), r6(F.avg("views_24h"), "views"), r6(F.avg("contacts_24h"), "contacts"))
 
 
 @query(
@@ -197,15 +200,15 @@ def e15_performance_by_age(t: Tables) -> DataFrame:
 )
 def e16_bot_score_histogram(t: Tables) -> DataFrame:
     known = t.events.filter("user_id is not null")
-    per = known.groupBy("user_id", "session_id", "device").agg(N.alias("n"), F.sum("dwell_time_sec").alias("d"), F.count("dwell_time_sec").alias("k"), F.count_if(is_positive()).alias("c"))
+    per = known.groupBy("user_id", "session_id", "device").agg(rows().alias("n"), F.sum("dwell_time_sec").alias("d"), F.count("dwell_time_sec").alias("k"), F.count_if(is_positive()).alias("c"))
     u = per.groupBy("user_id").agg(F.sum("n").alias("n"), F.countDistinct("session_id").alias("s"), F.countDistinct("device").alias("dv"), F.try_divide(F.sum("d"), F.sum("k") * 1000.0).alias("d"), F.sum("c").alias("c"))
     score = (F.col("n") / F.greatest("s", F.lit(1)) > 50).cast("int") * 3 + (F.coalesce("d", F.lit(0.0)) < 1).cast("int") * 2 + (F.col("dv") > 3).cast("int") + (F.col("n") > 5000).cast("int") * 2 + ((F.col("n") > 100) & (F.col("c") == 0)).cast("int")
-    return u.groupBy(score.alias("score")).agg(N.alias("n_users"))
+    return u.groupBy(score.alias("score")).agg(rows().alias("n_users"))
 
 
 @query("e17_hourly_activity", "SELECT hour(event_ts)::INTEGER AS hour, count(*) AS n, round(count(*) / sum(count(*)) OVER ()::DOUBLE, 6) AS share FROM fact_user_events WHERE event_ts IS NOT NULL GROUP BY 1")
 def e17_hourly_activity(t: Tables) -> DataFrame:
-    n = t.events.filter("event_ts is not null").groupBy(F.hour("event_ts").alias("hour")).agg(N.alias("n"))
+    n = t.events.filter("event_ts is not null").groupBy(F.hour("event_ts").alias("hour")).agg(rows().alias("n"))
     return n.select("hour", "n", r6(F.col("n") / F.sum("n").over(Window.partitionBy()), "share"))
 
 
@@ -223,25 +226,25 @@ def e18_zombie_listings(t: Tables) -> DataFrame:
 @query("e19_purchase_rate_by_category", "SELECT category, count(*) AS n, count(*) FILTER (WHERE purchased) AS purchases, round(avg(purchased::INT), 6) AS rate, round(avg(lead_count) FILTER (WHERE purchased), 6) AS leads_of_purchases FROM fact_post_contact_interactions GROUP BY 1")
 def e19_purchase_rate_by_category(t: Tables) -> DataFrame:
     p = F.col("purchased")
-    return t.pci.groupBy("category").agg(N.alias("n"), F.count_if(p).alias("purchases"), r6(F.avg(p.cast("int")), "rate"), r6(F.avg(F.when(p, F.col("lead_count"))), "leads_of_purchases"))
+    return t.pci.groupBy("category").agg(rows().alias("n"), F.count_if(p).alias("purchases"), r6(F.avg(p.cast("int")), "rate"), r6(F.avg(F.when(p, F.col("lead_count"))), "leads_of_purchases"))
 
 
 @query("e20_weekday_averages", f"WITH d AS (SELECT date, count(*) AS n, count(*) FILTER (WHERE event_type IN {GT}) AS c FROM fact_user_events WHERE date IS NOT NULL GROUP BY 1) SELECT isodow(date)::INTEGER AS weekday, count(*) AS days, round(avg(n), 6) AS events, round(avg(c), 6) AS contacts FROM d GROUP BY 1")
 def e20_weekday_averages(t: Tables) -> DataFrame:
-    d = t.events.filter("date is not null").groupBy("date").agg(N.alias("n"), F.count_if(is_positive()).alias("c"))
-    return d.groupBy((F.weekday("date") + 1).alias("weekday")).agg(N.alias("days"), r6(F.avg("n"), "events"), r6(F.avg("c"), "contacts"))
+    d = t.events.filter("date is not null").groupBy("date").agg(rows().alias("n"), F.count_if(is_positive()).alias("c"))
+    return d.groupBy((F.weekday("date") + 1).alias("weekday")).agg(rows().alias("days"), r6(F.avg("n"), "events"), r6(F.avg("c"), "contacts"))
 
 
 @query("e21_holiday_period", f"WITH d AS (SELECT date, CASE WHEN date BETWEEN DATE '2026-02-14' AND DATE '2026-02-22' THEN 'holiday' ELSE 'normal' END AS period, count(*) AS n, count(*) FILTER (WHERE event_type IN {GT}) AS c FROM fact_user_events WHERE date IS NOT NULL GROUP BY 1, 2) SELECT period, count(*) AS days, round(avg(n), 6) AS events, round(avg(c), 6) AS contacts FROM d GROUP BY 1")
 def e21_holiday_period(t: Tables) -> DataFrame:
     period = F.when(F.col("date").between(on("2026-02-14"), on("2026-02-22")), "holiday").otherwise("normal")
-    d = t.events.filter("date is not null").groupBy("date", period.alias("period")).agg(N.alias("n"), F.count_if(is_positive()).alias("c"))
-    return d.groupBy("period").agg(N.alias("days"), r6(F.avg("n"), "events"), r6(F.avg("c"), "contacts"))
+    d = t.events.filter("date is not null").groupBy("date", period.alias("period")).agg(rows().alias("n"), F.count_if(is_positive()).alias("c"))
+    return d.groupBy("period").agg(rows().alias("days"), r6(F.avg("n"), "events"), r6(F.avg("c"), "contacts"))
 
 
 @query("e22_city_volume", f"SELECT city_name, count(*) AS n, round(avg((event_type IN {GT})::INT), 6) AS contact_rate, round(count(*) / sum(count(*)) OVER ()::DOUBLE, 6) AS share, contains(city_name, 'Giang') AS is_giang FROM fact_user_events GROUP BY city_name")
 def e22_city_volume(t: Tables) -> DataFrame:
-    n = t.events.groupBy("city_name").agg(N.alias("n"), r6(F.avg(is_positive().cast("int")), "contact_rate"))
+    n = t.events.groupBy("city_name").agg(rows().alias("n"), r6(F.avg(is_positive().cast("int")), "contact_rate"))
     return n.select("city_name", "n", "contact_rate", r6(F.col("n") / F.sum("n").over(Window.partitionBy()), "share"), F.contains("city_name", F.lit("Giang")).alias("is_giang"))
 
 
@@ -254,7 +257,7 @@ def e23_price_anchoring(t: Tables) -> DataFrame:
     prices = t.events.filter("user_id is not null").join(t.listings.select("item_id", "price_bucket"), "item_id")
     take = lambda cond, name: prices.filter(cond).select("user_id", F.col("price_bucket").alias(name)).distinct()
     both = take(is_positive(), "contacted").join(take(F.col("event_type") == "pageview", "browsed"), "user_id")
-    return both.groupBy("contacted", "browsed").agg(N.alias("n_users")).orderBy(F.col("n_users").desc(), "contacted", "browsed").limit(10)
+    return both.groupBy("contacted", "browsed").agg(rows().alias("n_users")).orderBy(F.col("n_users").desc(), "contacted", "browsed").limit(10)
 
 
 @query(
@@ -269,7 +272,7 @@ def e24_user_breadth(t: Tables) -> DataFrame:
     p = F.col("n") / F.sum("n").over(Window.partitionBy("user_id"))
     e = k.select("user_id", p.alias("p")).groupBy("user_id").agg((-F.sum(F.col("p") * F.log2("p"))).alias("entropy"))
     v = known.groupBy("user_id").agg(F.countDistinct("city_name").alias("cities"))
-    return v.join(e, "user_id", "left").agg(N.alias("n_users"), r6(F.avg("entropy"), "entropy"), r6(F.avg("cities"), "cities"))
+    return v.join(e, "user_id", "left").agg(rows().alias("n_users"), r6(F.avg("entropy"), "entropy"), r6(F.avg("cities"), "cities"))
 
 
 @query(
@@ -300,7 +303,7 @@ def e25_contact_recency_overlap(t: Tables) -> DataFrame:
     earlier = t.contact_pairs.filter(F.col("last_date") <= on("2026-04-02")).groupBy("item_id").agg(F.max("last_date").alias("seen"))
     met = late_pairs(t).join(earlier, "item_id")
     days = F.explode(F.array(*[F.when(F.col("seen") > F.date_sub(on("2026-04-02"), d), F.lit(d)) for d in WINDOWS])).alias("days")
-    return met.select(days).filter("days is not null").groupBy("days").agg(N.alias("overlap"))
+    return met.select(days).filter("days is not null").groupBy("days").agg(rows().alias("overlap"))
 
 
 @query(
@@ -319,11 +322,11 @@ def e26_hit_rates_of_simple_strategies(t: Tables) -> DataFrame:
     placed = old.filter("city_name is not null and category is not null")
     top = lambda df, order: best(df, seg, [*order, F.col("item_id")], 10)
     pop = top(placed.groupBy(*seg, "item_id").agg(F.sum("count").alias("n")), [F.col("n").desc()])
-    rec = top(placed.filter(F.col("last_date") > on("2026-03-26")).groupBy(*seg, "item_id").agg(N.alias("n")), [F.col("n").desc()])
+    rec = top(placed.filter(F.col("last_date") > on("2026-03-26")).groupBy(*seg, "item_id").agg(rows().alias("n")), [F.col("n").desc()])
     fresh = top(t.listings.filter(F.col("posted_date") <= on("2026-04-02")).select(*seg, "item_id", "posted_date"), [F.col("posted_date").desc_nulls_last()])
     named = [pref.join(df.select(*seg, "item_id"), seg).select(F.lit(name).alias("strategy"), "user_id", "item_id") for name, df in (("segment popularity", pop), ("recent", rec), ("fresh", fresh))]
     shown = named[0].unionByName(named[1]).unionByName(named[2])
-    return shown.join(late_pairs(t).withColumn("hit", F.lit(1)), ["user_id", "item_id"], "left").groupBy("strategy").agg(N.alias("n_shown"), F.count("hit").alias("hits"))
+    return shown.join(late_pairs(t).withColumn("hit", F.lit(1)), ["user_id", "item_id"], "left").groupBy("strategy").agg(rows().alias("n_shown"), F.count("hit").alias("hits"))
 
 
 @query(
@@ -336,7 +339,7 @@ def e26_hit_rates_of_simple_strategies(t: Tables) -> DataFrame:
 def e27_pageview_preferences_agree(t: Tables) -> DataFrame:
     v = modes(t.events.filter("event_type = 'pageview' and user_id is not null"), "user_id", {"vc": "city_name", "vk": "category"})
     p = modes(t.contact_pairs.filter("user_id is not null"), "user_id", {"pc": "city_name", "pk": "category"})
-    return v.join(p, "user_id").agg(N.alias("n_users"), F.count_if(F.col("vc") == F.col("pc")).alias("same_city"), F.count_if(F.col("vk") == F.col("pk")).alias("same_category"))
+    return v.join(p, "user_id").agg(rows().alias("n_users"), F.count_if(F.col("vc") == F.col("pc")).alias("same_city"), F.count_if(F.col("vk") == F.col("pk")).alias("same_category"))
 
 
 @query(
@@ -366,7 +369,7 @@ def e28_replay_window_sweep(t: Tables) -> DataFrame:
 
     lists = [c.pageview_replay(t.events, date(2026, 4, 2), d, 10).select(F.lit(d).alias("days"), "user_id", "item_id") for d in SWEEP]
     shown = reduce(DataFrame.unionByName, lists)
-    return shown.join(late_pairs(t).withColumn("hit", F.lit(1)), ["user_id", "item_id"], "left").groupBy("days").agg(N.alias("n_shown"), F.count("hit").alias("hits"))
+    return shown.join(late_pairs(t).withColumn("hit", F.lit(1)), ["user_id", "item_id"], "left").groupBy("days").agg(rows().alias("n_shown"), F.count("hit").alias("hits"))
 
 
 COVIEW = """
@@ -404,24 +407,24 @@ def e30_intent_match_rate(t: Tables) -> DataFrame:
     target = late_pairs(t).join(listings, "item_id").join(seen.select("user_id"), "user_id", "left_semi")
     parts = []
     for name, cols in INTENT_LEVELS.items():
-        mine = best(seen.groupBy("user_id", *cols).agg(N.alias("n")), ["user_id"], [F.col("n").desc(), *[F.col(x).asc_nulls_first() for x in cols]], 3, "place")
+        mine = best(seen.groupBy("user_id", *cols).agg(rows().alias("n")), ["user_id"], [F.col("n").desc(), *[F.col(x).asc_nulls_first() for x in cols]], 3, "place")
         a, b = target.alias("a"), mine.alias("b")
         same = reduce(Column.__and__, [F.col(f"a.{x}").eqNullSafe(F.col(f"b.{x}")) for x in cols], F.col("a.user_id") == F.col("b.user_id"))
         met = a.join(b, same, "left").select("place")
-        parts += [met.agg(N.alias("n"), F.count_if(F.col("place") <= top).alias("matched")).select(F.lit(name).alias("level"), F.lit(top).alias("top"), "n", "matched") for top in (1, 3)]
+        parts += [met.agg(rows().alias("n"), F.count_if(F.col("place") <= top).alias("matched")).select(F.lit(name).alias("level"), F.lit(top).alias("top"), "n", "matched") for top in (1, 3)]
     return reduce(DataFrame.unionByName, parts)
 
 
 @query("e31_adview_bins", "SELECT (floor(adview_count / 10) * 10)::BIGINT AS bin, count(*) AS n, round(sum(coalesce(lead_count, 0)) / sum(adview_count)::DOUBLE, 6) AS leads_per_view FROM fact_post_contact_interactions WHERE adview_count > 0 GROUP BY 1")
 def e31_adview_bins(t: Tables) -> DataFrame:
     known = t.pci.filter("adview_count > 0")
-    return known.groupBy((F.floor(F.col("adview_count") / 10) * 10).alias("bin")).agg(N.alias("n"), r6(F.sum(F.coalesce("lead_count", F.lit(0))) / F.sum("adview_count"), "leads_per_view"))
+    return known.groupBy((F.floor(F.col("adview_count") / 10) * 10).alias("bin")).agg(rows().alias("n"), r6(F.sum(F.coalesce("lead_count", F.lit(0))) / F.sum("adview_count"), "leads_per_view"))
 
 
 @query("e31_adview_lead_correlation", "SELECT round(corr(adview_count, coalesce(lead_count, 0)), 6) AS r, count(*) AS n FROM fact_post_contact_interactions WHERE adview_count IS NOT NULL")
 def e31_adview_lead_correlation(t: Tables) -> DataFrame:
     known = t.pci.filter("adview_count is not null").withColumn("l", F.coalesce("lead_count", F.lit(0)))
-    return known.agg(r6(F.corr("adview_count", "l"), "r"), N.alias("n"))
+    return known.agg(r6(F.corr("adview_count", "l"), "r"), rows().alias("n"))
 
 
 TRANSITIONS = "WITH s AS (SELECT category AS b, lag(category) OVER (PARTITION BY user_id ORDER BY last_date, item_id, city_name NULLS FIRST, category NULLS FIRST, count) AS a FROM contact_pairs WHERE user_id IS NOT NULL AND last_date IS NOT NULL), n AS (SELECT a, b, count(*) AS n FROM s WHERE a IS NOT NULL AND b IS NOT NULL GROUP BY 1, 2), p AS (SELECT a AS from_category, b AS to_category, n, n / sum(n) OVER (PARTITION BY a)::DOUBLE AS p FROM n)"
@@ -430,7 +433,7 @@ TRANSITIONS = "WITH s AS (SELECT category AS b, lag(category) OVER (PARTITION BY
 def transitions(t: Tables) -> DataFrame:
     line = Window.partitionBy("user_id").orderBy("last_date", "item_id", F.col("city_name").asc_nulls_first(), F.col("category").asc_nulls_first(), "count")
     steps = t.contact_pairs.filter("user_id is not null and last_date is not null").select(F.lag("category").over(line).alias("from_category"), F.col("category").alias("to_category")).dropna()
-    n = steps.groupBy("from_category", "to_category").agg(N.alias("n"))
+    n = steps.groupBy("from_category", "to_category").agg(rows().alias("n"))
     return n.withColumn("p", F.col("n") / F.sum("n").over(Window.partitionBy("from_category")))
 
 
@@ -473,10 +476,10 @@ def e33_recall_of_sources(t: Tables) -> DataFrame:
 def e34_interactions_overview(t: Tables) -> DataFrame:
     p = t.pci.filter("user_id is not null")
     contacts = t.contact_pairs.filter("user_id is not null").select("user_id", "item_id").distinct()
-    by_user = p.groupBy("user_id").agg(N.alias("n"), F.count_if(F.col("lead_count") > 0).alias("l"))
+    by_user = p.groupBy("user_id").agg(rows().alias("n"), F.count_if(F.col("lead_count") > 0).alias("l"))
     known = contacts.select("user_id").distinct().withColumn("known", F.lit(1))
-    users = by_user.join(known, "user_id", "left").agg(F.sum("n").alias("n_rows"), N.alias("n_users"), F.sum("l").alias("lead_rows"), F.count_if(F.col("known").isNull()).alias("users_without_contacts"))
-    new = p.filter("lead_count > 0").select("user_id", "item_id").distinct().join(contacts, ["user_id", "item_id"], "left_anti").agg(N).scalar()
+    users = by_user.join(known, "user_id", "left").agg(F.sum("n").alias("n_rows"), rows().alias("n_users"), F.sum("l").alias("lead_rows"), F.count_if(F.col("known").isNull()).alias("users_without_contacts"))
+    new = p.filter("lead_count > 0").select("user_id", "item_id").distinct().join(contacts, ["user_id", "item_id"], "left_anti").agg(rows()).scalar()
     return users.withColumn("new_lead_pairs", new)
 
 
@@ -487,7 +490,7 @@ def e34_interactions_overview(t: Tables) -> DataFrame:
 )
 def e35_contacts_by_listing_age(t: Tables) -> DataFrame:
     age = F.greatest(F.datediff("last_date", "posted_date"), F.lit(0))
-    ages = t.contact_pairs.join(t.listings.select("item_id", "posted_date"), "item_id").filter("posted_date is not null and last_date is not null").groupBy(age.alias("age")).agg(N.alias("n"))
+    ages = t.contact_pairs.join(t.listings.select("item_id", "posted_date"), "item_id").filter("posted_date is not null and last_date is not null").groupBy(age.alias("age")).agg(rows().alias("n"))
     within = F.explode(F.array(*[F.struct(F.lit(d).alias("days"), F.when(F.col("age") <= d, F.col("n")).otherwise(0).alias("k")) for d in WINDOWS])).alias("w")
     return ages.select("n", within).groupBy("w.days").agg(F.sum("w.k").alias("n"), r6(F.sum("w.k") / F.sum("n"), "share"))
 
@@ -506,4 +509,4 @@ def e35_segment_ceiling(t: Tables) -> DataFrame:
     pop = best(old.groupBy(*seg, "item_id").agg(F.sum("count").alias("n")), seg, [F.col("n").desc(), F.col("item_id")], 500).select(*seg, "item_id", "rank")
     target = t.contact_pairs.filter((F.col("last_date") > on("2026-04-02")) & F.col("user_id").isNotNull()).select("user_id", "item_id", *seg).distinct()
     ks = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), (F.col("rank") <= k).alias("hit")) for k in (10, 50, 500)])).alias("x")
-    return target.join(pop, [*seg, "item_id"], "left").select(ks).groupBy("x.k").agg(N.alias("n"), F.count_if("x.hit").alias("hits"))
+    return target.join(pop, [*seg, "item_id"], "left").select(ks).groupBy("x.k").agg(rows().alias("n"), F.count_if("x.hit").alias("hits"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketloom.functions.ranking import best, min_max, top
@@ -16,7 +16,10 @@ from marketloom.streaming import events as stream
 
 REGISTRY = Registry()
 query = REGISTRY.query
-N = F.count(F.lit(1))
+
+
+def rows() -> Column:
+    return F.count(F.lit(1))
 
 
 def on(d: str):
@@ -117,7 +120,7 @@ def join_full_coalesced(t: Tables) -> DataFrame:
 def join_null_safe(t: Tables) -> DataFrame:
     k, a = t.listings.select("category", "city_name", "furnishing").distinct().alias("k"), t.listings.alias("a")
     same = F.col("a.category").eqNullSafe(F.col("k.category")) & F.col("a.city_name").eqNullSafe(F.col("k.city_name")) & F.col("a.furnishing").eqNullSafe(F.col("k.furnishing"))
-    return a.join(k, same).groupBy("a.item_id").agg(N.alias("n"))
+    return a.join(k, same).groupBy("a.item_id").agg(rows().alias("n"))
 
 
 @query("join_named_keys", "SELECT d.doc_id, l.city_name FROM documents d JOIN dim_listing l ON d.item_id = l.item_id AND d.seller_id = l.seller_id")
@@ -131,7 +134,7 @@ def agg_conditional(t: Tables) -> DataFrame:
     from marketloom.constants import POSITIVE_EVENTS
 
     view = F.col("event_type") == "pageview"
-    return t.events.groupBy("city_name").agg(N.alias("n"), F.count_if(F.col("event_type").isin(POSITIVE_EVENTS)).alias("positives"), F.round(F.avg(F.when(view, F.col("dwell_time_sec"))), 6).alias("dwell"))
+    return t.events.groupBy("city_name").agg(rows().alias("n"), F.count_if(F.col("event_type").isin(POSITIVE_EVENTS)).alias("positives"), F.round(F.avg(F.when(view, F.col("dwell_time_sec"))), 6).alias("dwell"))
 
 
 @query("agg_grouping_sets", "SELECT city_name, category, grouping_id(city_name, category)::BIGINT AS level, sum(count)::BIGINT AS n FROM contact_pairs GROUP BY GROUPING SETS ((city_name, category), (city_name), (category), ())")
@@ -170,13 +173,13 @@ ORDER = ["draft", "active", "expired", "hidden", "sold"]
 
 @query("sort_by_meaning", "SELECT ad_status, count(*) AS n, CASE ad_status " + " ".join(f"WHEN '{x}' THEN {i}" for i, x in enumerate(ORDER)) + f" ELSE {len(ORDER)} END AS place FROM dim_listing GROUP BY 1")
 def sort_by_meaning(t: Tables) -> DataFrame:
-    return t.listings.groupBy("ad_status").agg(N.alias("n")).withColumn("place", rel.ordinal(F.col("ad_status"), ORDER)).orderBy("place")
+    return t.listings.groupBy("ad_status").agg(rows().alias("n")).withColumn("place", rel.ordinal(F.col("ad_status"), ORDER)).orderBy("place")
 
 
 @query("sort_rotated", "WITH r AS (SELECT user_id, item_id, row_number() OVER w AS r, count(*) OVER (PARTITION BY user_id) AS n FROM (SELECT DISTINCT user_id, item_id FROM contact_pairs WHERE user_id IS NOT NULL) WINDOW w AS (PARTITION BY user_id ORDER BY item_id)) SELECT user_id, item_id, ((r - 1 - (CAST('0x' || substr(md5(user_id), 1, 8) AS BIGINT) % 1000) % n) % n + n) % n + 1 AS rank FROM r")
 def sort_rotated(t: Tables) -> DataFrame:
     pairs = t.contact_pairs.filter("user_id is not null").select("user_id", "item_id").distinct()
-    r = best(pairs, ["user_id"], [F.col("item_id")]).withColumn("n", N.over(Window.partitionBy("user_id")))
+    r = best(pairs, ["user_id"], [F.col("item_id")]).withColumn("n", rows().over(Window.partitionBy("user_id")))
     return r.select("user_id", "item_id", rel.rotate(F.col("rank"), stable_bucket(F.col("user_id"), 1000) % F.col("n"), F.col("n")).alias("rank"))
 
 
@@ -197,7 +200,7 @@ SETS = {"difference": "EXCEPT", "intersection": "INTERSECT", "union": "UNION"}
 def set_operations(t: Tables) -> DataFrame:
     a, b = t.events.select("user_id"), t.contact_pairs.select("user_id")
     parts = {"difference": a.subtract(b), "intersection": a.intersect(b), "union": a.union(b).distinct()}
-    counted = [df.agg(N.alias("n")).select(F.lit(k).alias("operation"), "n") for k, df in parts.items()]
+    counted = [df.agg(rows().alias("n")).select(F.lit(k).alias("operation"), "n") for k, df in parts.items()]
     return counted[0].unionAll(counted[1]).unionAll(counted[2])
 
 
