@@ -36,7 +36,7 @@ def again(rows: DataFrame) -> DataFrame:
     return best(rows.withColumnRenamed("rank", "old"), ["user_id"], [F.col("old"), F.col("item_id")]).drop("old")
 
 
-def fold(users: DataFrame, sources: Sequence[Source], budgets: Mapping[str, int], k: int, valid: DataFrame | None = None, capped: bool = True, checkpoint_every: int = 3) -> DataFrame:
+def fold(users: DataFrame, sources: Sequence[Source], budgets: Mapping[str, int], k: int, valid: DataFrame | None = None, capped: bool = True, checkpoint_every: int = 1) -> DataFrame:
     """(user_id, item_id, pos, source): at most k items a user, each once.
 
     capped cuts what a source places at its budget; without it a source may
