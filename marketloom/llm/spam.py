@@ -20,7 +20,6 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -41,7 +40,7 @@ FLAGGED, EXCESSIVE, MOST = 0.5, 0.2, 0.5
 SENTENCE_WORDS = 8
 CHUNK_WORDS = 500_000
 SENTENCE_END = re.compile(r"(?<=[.!?])\s+|\n+")
-ROWS = "t1 bigint, t2 bigint, win int, pair bigint, n int, n_pair int, n_word int, n_words int"
+ROWS = "t1 bigint, t2 bigint, place int, pair bigint, n_pair int, n_word int, n_words int"
 
 
 def read_words(text: str) -> list[str]:
@@ -58,9 +57,20 @@ def read_words(text: str) -> list[str]:
     return out
 
 
+def counts(group: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """For each place how often its value occurs in its group."""
+    order = np.lexsort((value, group))
+    g, v = group[order], value[order]
+    starts = np.flatnonzero(np.concatenate(([True], (g[1:] != g[:-1]) | (v[1:] != v[:-1]))))
+    n = np.diff(np.append(starts, len(order)))
+    out = np.empty(len(order), np.int64)
+    out[order] = np.repeat(n, n)
+    return out
+
+
 def pair_rows(texts: DataFrame) -> DataFrame:
-    """ROWS from (t1, t2, text): by window and pair of neighbouring words, its count there, in the text, the first word's count and all pairs of the text."""
-    out = pa.schema([("t1", pa.int64()), ("t2", pa.int64()), ("win", pa.int32()), ("pair", pa.int64()), ("n", pa.int32()), ("n_pair", pa.int32()), ("n_word", pa.int32()), ("n_words", pa.int32())])
+    """ROWS from (t1, t2, text): each pair of neighbouring words with its place, its count in the text, the first word's count and all pairs of the text."""
+    out = pa.schema([("t1", pa.int64()), ("t2", pa.int64()), ("place", pa.int32()), ("pair", pa.int64()), ("n_pair", pa.int32()), ("n_word", pa.int32()), ("n_words", pa.int32())])
 
     def flat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes: dict[str, int] = {}
@@ -80,13 +90,9 @@ def pair_rows(texts: DataFrame) -> DataFrame:
             second = np.concatenate([d[1:] for d in docs])
             at = np.arange(len(doc)) - np.repeat(np.cumsum(pairs) - pairs, pairs)
             pair = ((first << np.uint64(32)) | second).view(np.int64)
-            frame = pd.DataFrame({"doc": doc, "win": (at // WINDOW).astype(np.int32), "pair": pair, "first": first})
-            frame["n_word"] = frame.groupby(["doc", "first"], sort=False)["win"].transform("size")
-            frame["n_pair"] = frame.groupby(["doc", "pair"], sort=False)["win"].transform("size")
-            g = frame.groupby(["doc", "win", "pair"], sort=False).agg(n=("first", "size"), n_pair=("n_pair", "first"), n_word=("n_word", "first")).reset_index()
-            k = np.array(keys, np.int64)[g["doc"].to_numpy()]
-            cols = [k[:, 0], k[:, 1], g["win"], g["pair"], g["n"], g["n_pair"], g["n_word"], pairs[g["doc"].to_numpy()]]
-            return pa.RecordBatch.from_arrays([pa.array(np.asarray(c), f.type, safe=False) for c, f in zip(cols, out)], schema=out)
+            k = np.array(keys, np.int64)
+            cols = [k[doc, 0], k[doc, 1], at, pair, counts(doc, pair), counts(doc, first), pairs[doc]]
+            return pa.RecordBatch.from_arrays([pa.array(c.astype(f.type.to_pandas_dtype()), f.type) for c, f in zip(cols, out)], schema=out)
 
         for batch in batches:
             keys, docs, size, seen = [], [], 0, set()
@@ -122,7 +128,7 @@ def text_scores(documents: DataFrame, doc: str, text: str) -> DataFrame:
     # a copy of a text in another task gives the same rows: distinct drops them where they meet, by pair
     rows = pair_rows(held.select("t1", "t2", "text")).repartition("pair").distinct()
     # read four times below: without the cut, each would scan all texts again
-    pairs = cut_lineage(rows.groupBy("pair").agg(F.sum("n").alias("total")))
+    pairs = cut_lineage(rows.groupBy("pair").agg(F.count(F.lit(1)).alias("total")))
     pairs = pairs.withColumn("a", F.shiftright("pair", 32)).withColumn("b", F.col("pair").bitwiseAND(F.lit(0xFFFFFFFF)))
     first = pairs.groupBy("a").agg(F.sum("total").alias("as_first"))
     second = pairs.groupBy("b").agg(F.sum("total").alias("as_second"))
@@ -136,10 +142,10 @@ def text_scores(documents: DataFrame, doc: str, text: str) -> DataFrame:
     incoherent = elsewhere < F.exp(F.lit(LEAST_PMI)) * chance
     excess = lambda n, total: (n >= REPEATS) & (n / F.col("n_words") >= EXCESS * (total - n + 1) / F.col("corpus"))
     stuffed_pair, stuffed_word = excess(F.col("n_pair"), F.col("total")), excess(F.col("n_word"), F.col("as_first"))
-    marked = met.select(
-        "t1", "t2", "win", "n", "n_words", (F.col("n") * F.ln(F.col("total") / chance)).alias("pmi"), F.when(incoherent | stuffed_pair | stuffed_word, F.col("n")).otherwise(0).alias("bad"), F.when(stuffed_word, F.col("n")).otherwise(0).alias("over")
-    )
-    windows = marked.groupBy("t1", "t2", "n_words", "win").agg(F.sum("n").alias("n"), F.sum("pmi").alias("pmi"), F.sum("bad").alias("bad"), F.sum("over").alias("over"))
+    yes = lambda c: F.when(c, 1).otherwise(0)
+    window = F.floor(F.col("place") / WINDOW).alias("win")
+    marked = met.select("t1", "t2", "n_words", window, F.ln(F.col("total") / chance).alias("pmi"), yes(incoherent | stuffed_pair | stuffed_word).alias("bad"), yes(stuffed_word).alias("over"))
+    windows = marked.groupBy("t1", "t2", "n_words", "win").agg(F.count(F.lit(1)).alias("n"), F.sum("pmi").alias("pmi"), F.sum("bad").alias("bad"), F.sum("over").alias("over"))
     scores = windows.groupBy("t1", "t2", "n_words").agg(
         (F.sum("pmi") / F.first("n_words")).alias("mean_pmi"),
         (F.sum("over") / F.first("n_words")).alias("excessive"),
