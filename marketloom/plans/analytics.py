@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from marketloom.functions.ranking import best, modes
 from marketloom.operators import candidates as c
 from marketloom.operators import frequency, profile
 from marketloom.plans import candidates as cq
-from marketloom.plans.cleaning import GT, LOGIN, mode_sql, rounded
+from marketloom.plans.cleaning import GT, mode_sql, rounded
 from marketloom.plans.registry import Registry
 from marketloom.sources.tables import Tables
 
@@ -104,8 +106,6 @@ ORPHAN_TABLES = ["fact_user_events", "fact_post_contact_interactions", "fact_lis
 
 @query("e6_orphan_items", " UNION ALL ".join(f"SELECT '{x}' AS table_name, count(DISTINCT item_id) AS n_keys, count(DISTINCT item_id) FILTER (WHERE item_id NOT IN (SELECT item_id FROM dim_listing)) AS n_orphans FROM {x}" for x in ORPHAN_TABLES))
 def e6_orphan_items(t: Tables) -> DataFrame:
-    from functools import reduce
-
     return reduce(DataFrame.unionByName, [profile.orphans(t[x], t.listings, "item_id").withColumn("table_name", F.lit(x)) for x in ORPHAN_TABLES])
 
 
@@ -365,8 +365,6 @@ SWEEP = [3, 7, 14, 30]
 )
 def e28_replay_window_sweep(t: Tables) -> DataFrame:
     from datetime import date
-    from functools import reduce
-
     lists = [c.pageview_replay(t.events, date(2026, 4, 2), d, 10).select(F.lit(d).alias("days"), "user_id", "item_id") for d in SWEEP]
     shown = reduce(DataFrame.unionByName, lists)
     return shown.join(late_pairs(t).withColumn("hit", F.lit(1)), ["user_id", "item_id"], "left").groupBy("days").agg(rows().alias("n_shown"), F.count("hit").alias("hits"))
@@ -399,8 +397,6 @@ INTENT_LEVELS = {"ward": ["ward_name", "price_bucket", "category"], "district":
     ),
 )
 def e30_intent_match_rate(t: Tables) -> DataFrame:
-    from functools import reduce
-
     attrs = ["city_name", "district_name", "ward_name", "category", "price_bucket"]
     listings = t.listings.select("item_id", *attrs)
     seen = t.events.filter((F.col("event_type") == "pageview") & (F.col("date") <= on("2026-04-02")) & F.col("user_id").isNotNull()).select("user_id", "item_id").join(listings, "item_id")
@@ -451,8 +447,6 @@ def e32_self_transition(t: Tables) -> DataFrame:
 def e33_recall_of_sources(t: Tables) -> DataFrame:
     """Recall of late contacts by each source, fitted on everything up to the split."""
     from datetime import date
-    from functools import reduce
-
     from marketloom.operators import metrics
 
     split = date(2026, 4, 2)
