@@ -38,7 +38,7 @@ def scratch_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local["):
+    if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     made = os.path.join(tempfile.gettempdir(), f"marketloom-{uuid.uuid4().hex}")
     spark.conf.set("spark.checkpoint.dir", made)
