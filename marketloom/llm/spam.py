@@ -7,7 +7,8 @@ seen elsewhere, are incoherent. Pairs and words that a text repeats far more
 often than the corpus does are excessive. Windows of words in which half the
 positions are incoherent or excessive are no sentences, and a text is stuffed
 when such windows hold more than half of its words and it repeats words
-excessively. Shuffled sentences are incoherent without repeating anything and
+excessively. A sentence that a text repeats is no stuffing as long as its pairs
+are coherent, a keyword line that it repeats is. Shuffled sentences are incoherent without repeating anything and
 stay apart.
 
 Texts are looked at once however often they are copied. Counts are exact, over
@@ -17,12 +18,13 @@ the whole corpus, keyed by a 32-bit hash of each word of a pair.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketloom.llm.text import NOT_WORD, fold
@@ -36,41 +38,49 @@ LEAST_PMI = 1.0
 EXCESS, REPEATS = 8.0, 3
 #: Share of flagged positions in a window, of excessive words in a text, and of words in flagged windows.
 FLAGGED, EXCESSIVE, MOST = 0.5, 0.2, 0.5
-#: A longer sentence that a text repeats is read once.
+#: Words a sentence or line must have to be looked at as a whole when it is repeated.
 SENTENCE_WORDS = 8
+#: A repeated sentence with a smaller share of incoherent pairs is no stuffing.
+STRANGE = 0.25
 CHUNK_WORDS = 500_000
 SENTENCE_END = re.compile(r"(?<=[.!?])\s+|\n+")
-ROWS = "t1 bigint, t2 bigint, place int, pair bigint, n_pair int, n_word int, n_words int"
+ROWS = "t1 bigint, t2 bigint, place int, pair bigint, n_pair int, n_once int, n_word int, n_words int, line int, again boolean"
+
+
+def read_lines(text: str) -> tuple[list[str], list[int], list[bool]]:
+    """The folded words of a text; for each the number of its sentence if that has SENTENCE_WORDS and is repeated, else -1, and whether the sentence stood there before."""
+    sentences = [w for w in (NOT_WORD.sub(" ", s).split() for s in SENTENCE_END.split(fold(text))) if w]
+    keys = [tuple(w) if len(w) >= SENTENCE_WORDS else None for w in sentences]
+    n, seen = Counter(keys), {}
+    out, line, again = [], [], []
+    for i, (w, key) in enumerate(zip(sentences, keys)):
+        repeated = key is not None and n[key] > 1
+        first = seen.setdefault(key, i) if repeated else i
+        out += w
+        line += [first if repeated else -1] * len(w)
+        again += [first < i] * len(w)
+    return out, line, again
 
 
 def read_words(text: str) -> list[str]:
-    """The folded words of a text, sentences of SENTENCE_WORDS and more only once."""
-    seen, out = set(), []
-    for sentence in SENTENCE_END.split(fold(text)):
-        w = NOT_WORD.sub(" ", sentence).split()
-        if len(w) >= SENTENCE_WORDS:
-            key = tuple(w)
-            if key in seen:
-                continue
-            seen.add(key)
-        out += w
-    return out
+    """All folded words of a text."""
+    return read_lines(text)[0]
 
 
-def counts(group: np.ndarray, value: np.ndarray) -> np.ndarray:
-    """For each place how often its value occurs in its group."""
+def counts(group: np.ndarray, value: np.ndarray, weight: np.ndarray | None = None) -> np.ndarray:
+    """For each place how often its value occurs in its group, or the sum of weights there."""
     order = np.lexsort((value, group))
     g, v = group[order], value[order]
     starts = np.flatnonzero(np.concatenate(([True], (g[1:] != g[:-1]) | (v[1:] != v[:-1]))))
     n = np.diff(np.append(starts, len(order)))
     out = np.empty(len(order), np.int64)
-    out[order] = np.repeat(n, n)
+    out[order] = np.repeat(n if weight is None else np.add.reduceat(weight[order], starts), n)
     return out
 
 
 def pair_rows(texts: DataFrame) -> DataFrame:
-    """ROWS from (t1, t2, text): each pair of neighbouring words with its place, its count in the text, the first word's count and all pairs of the text."""
-    out = pa.schema([("t1", pa.int64()), ("t2", pa.int64()), ("place", pa.int32()), ("pair", pa.int64()), ("n_pair", pa.int32()), ("n_word", pa.int32()), ("n_words", pa.int32())])
+    """ROWS from (t1, t2, text): each pair of neighbouring words with its place, its count in the text, that without repeats of sentences, the first word's count, all pairs of the text, and the repeated sentence it begins in."""
+    out = pa.schema([("t1", pa.int64()), ("t2", pa.int64()), ("place", pa.int32()), ("pair", pa.int64()), ("n_pair", pa.int32()), ("n_once", pa.int32()), ("n_word", pa.int32()), ("n_words", pa.int32()), ("line", pa.int32()), ("again", pa.bool_())])
 
     def flat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes: dict[str, int] = {}
@@ -83,7 +93,7 @@ def pair_rows(texts: DataFrame) -> DataFrame:
                 h = hashes[w] = xxhash.xxh32_intdigest(w)
             return h
 
-        def flush(keys: list[tuple[int, int]], docs: list[np.ndarray]) -> pa.RecordBatch:
+        def flush(keys: list[tuple[int, int]], docs: list[np.ndarray], lines: list[np.ndarray], repeats: list[np.ndarray]) -> pa.RecordBatch:
             pairs = np.array([len(d) - 1 for d in docs])
             doc = np.repeat(np.arange(len(docs)), pairs)
             first = np.concatenate([d[:-1] for d in docs])
@@ -91,36 +101,41 @@ def pair_rows(texts: DataFrame) -> DataFrame:
             at = np.arange(len(doc)) - np.repeat(np.cumsum(pairs) - pairs, pairs)
             pair = ((first << np.uint64(32)) | second).view(np.int64)
             k = np.array(keys, np.int64)
-            cols = [k[doc, 0], k[doc, 1], at, pair, counts(doc, pair), counts(doc, first), pairs[doc]]
+            again = np.concatenate([r[:-1] for r in repeats])
+            cols = [k[doc, 0], k[doc, 1], at, pair, counts(doc, pair), counts(doc, pair, (~again).astype(np.int64)), counts(doc, first), pairs[doc], np.concatenate([n[:-1] for n in lines]), again]
             return pa.RecordBatch.from_arrays([pa.array(c.astype(f.type.to_pandas_dtype()), f.type) for c, f in zip(cols, out)], schema=out)
 
         for batch in batches:
-            keys, docs, size, seen = [], [], 0, set()
+            keys, docs, lines, repeats, size, seen = [], [], [], [], 0, set()
             for key in zip(batch["t1"].to_pylist(), batch["t2"].to_pylist(), range(batch.num_rows)):
                 if key[:2] in seen:
                     continue
                 seen.add(key[:2])
-                w = read_words(batch["text"][key[2]].as_py())
+                w, line, again = read_lines(batch["text"][key[2]].as_py())
                 if len(w) < 2:
                     continue
                 keys.append(key[:2])
                 docs.append(np.fromiter(map(hashed, w), np.uint64, len(w)))
+                lines.append(np.array(line, np.int32))
+                repeats.append(np.array(again, bool))
                 size += len(w)
                 if size > CHUNK_WORDS:
-                    yield flush(keys, docs)
-                    keys, docs, size = [], [], 0
+                    yield flush(keys, docs, lines, repeats)
+                    keys, docs, lines, repeats, size = [], [], [], [], 0
             if docs:
-                yield flush(keys, docs)
+                yield flush(keys, docs, lines, repeats)
 
     return texts.mapInArrow(flat, ROWS)
 
 
 def text_scores(documents: DataFrame, doc: str, text: str) -> DataFrame:
-    """(doc, n_words, mean_pmi, excessive, flagged) of documents with at least two words.
+    """(doc, n_words, mean_pmi, excessive, flagged, excessive_left, flagged_left) of documents with at least two words.
 
     n_words counts pairs of neighbouring words; mean_pmi is over all of them;
     excessive is the share of words repeated excessively, flagged that of words
-    in windows that are no sentences. Null ids and texts are left out; equal texts get
+    in windows that are no sentences, both of the whole text. In excessive_left and
+    flagged_left the words of repeated sentences of coherent pairs count as words, but
+    never as evidence. Null ids and texts are left out; equal texts get
     equal scores; an empty table gives no rows; other columns are never read.
     """
     held = documents.filter(F.col(doc).isNotNull() & F.col(text).isNotNull()).select(F.col(doc).alias("doc"), F.col(text).alias("text"))
@@ -128,36 +143,46 @@ def text_scores(documents: DataFrame, doc: str, text: str) -> DataFrame:
     # a copy of a text in another task gives the same rows: distinct drops them where they meet, by pair
     rows = pair_rows(held.select("t1", "t2", "text")).repartition("pair").distinct()
     # read four times below: without the cut, each would scan all texts again
-    pairs = cut_lineage(rows.groupBy("pair").agg(F.count(F.lit(1)).alias("total")))
+    pairs = cut_lineage(rows.groupBy("pair").agg(F.count(F.lit(1)).alias("total"), F.sum(F.when(F.col("again") | (F.col("n_once") >= REPEATS), 0).otherwise(1)).alias("once")))
     pairs = pairs.withColumn("a", F.shiftright("pair", 32)).withColumn("b", F.col("pair").bitwiseAND(F.lit(0xFFFFFFFF)))
-    first = pairs.groupBy("a").agg(F.sum("total").alias("as_first"))
-    second = pairs.groupBy("b").agg(F.sum("total").alias("as_second"))
-    everything = pairs.agg(F.sum("total")).scalar()
-    known = pairs.join(first, "a").join(second, "b").select("pair", "total", "as_first", "as_second")
+    first = pairs.groupBy("a").agg(F.sum("total").alias("as_first"), F.sum("once").alias("once_first"))
+    second = pairs.groupBy("b").agg(F.sum("total").alias("as_second"), F.sum("once").alias("once_second"))
+    everything, every_once = (pairs.agg(F.sum(c)).scalar() for c in ("total", "once"))
+    known = pairs.join(first, "a").join(second, "b").select("pair", "total", "as_first", "as_second", "once", "once_first", "once_second")
     # one row a pair on the build side, at most the distinct pairs of a partition
-    met = rows.join(known.hint("shuffle_hash"), "pair").withColumn("corpus", everything.cast("double"))
+    met = rows.join(known.hint("shuffle_hash"), "pair").withColumn("corpus", everything.cast("double")).withColumn("corpus_once", every_once.cast("double"))
     chance = F.col("as_first").cast("double") * F.col("as_second") / F.col("corpus")
     # twice the text's own count goes off, so that one near copy of it is no evidence
     elsewhere = F.greatest(F.col("total") - 2 * F.col("n_pair"), F.lit(0))
+    # a repeated sentence is judged as if read once, and by texts that do not repeat its pairs: stuffed ones share their phrases
+    own = F.when(F.col("n_once") < REPEATS, F.col("n_once")).otherwise(0)
+    strange = F.greatest(F.col("once") - 2 * own, F.lit(0)) <= F.exp(F.lit(LEAST_PMI)) * F.col("once_first").cast("double") * F.col("once_second") / F.col("corpus_once")
     incoherent = elsewhere < F.exp(F.lit(LEAST_PMI)) * chance
     excess = lambda n, total: (n >= REPEATS) & (n / F.col("n_words") >= EXCESS * (total - n + 1) / F.col("corpus"))
     stuffed_pair, stuffed_word = excess(F.col("n_pair"), F.col("total")), excess(F.col("n_word"), F.col("as_first"))
     yes = lambda c: F.when(c, 1).otherwise(0)
     window = F.floor(F.col("place") / WINDOW).alias("win")
-    marked = met.select("t1", "t2", "n_words", window, F.ln(F.col("total") / chance).alias("pmi"), yes(incoherent | stuffed_pair | stuffed_word).alias("bad"), yes(stuffed_word).alias("over"))
-    windows = marked.groupBy("t1", "t2", "n_words", "win").agg(F.count(F.lit(1)).alias("n"), F.sum("pmi").alias("pmi"), F.sum("bad").alias("bad"), F.sum("over").alias("over"))
+    marked = met.select("t1", "t2", "n_words", window, "line", F.ln(F.col("total") / chance).alias("pmi"), yes(incoherent | stuffed_pair | stuffed_word).alias("bad"), yes(stuffed_word).alias("over"), yes(strange).alias("strange"))
+    lines = marked.groupBy("t1", "t2", "n_words", "win", "line").agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in ("pmi", "bad", "over", "strange")])
+    line = Window.partitionBy("t1", "t2", "line")
+    sound = (F.col("line") >= 0) & (F.sum("strange").over(line) < STRANGE * F.sum("n").over(line))
+    lines = lines.withColumn("sound", sound).withColumns({f"{c}_left": F.when(F.col("sound"), 0).otherwise(F.col(c)) for c in ("bad", "over")})
+    windows = lines.groupBy("t1", "t2", "n_words", "win").agg(*[F.sum(c).alias(c) for c in ("n", "pmi", "bad", "over", "bad_left", "over_left")])
+    flagged = lambda c: F.sum(F.when(F.col(c) >= FLAGGED * F.col("n"), F.col("n")).otherwise(0)) / F.first("n_words")
     scores = windows.groupBy("t1", "t2", "n_words").agg(
         (F.sum("pmi") / F.first("n_words")).alias("mean_pmi"),
         (F.sum("over") / F.first("n_words")).alias("excessive"),
-        (F.sum(F.when(F.col("bad") >= FLAGGED * F.col("n"), F.col("n")).otherwise(0)) / F.first("n_words")).alias("flagged"),
+        flagged("bad").alias("flagged"),
+        (F.sum("over_left") / F.first("n_words")).alias("excessive_left"),
+        flagged("bad_left").alias("flagged_left"),
     )
-    return held.select("doc", "t1", "t2").join(scores, ["t1", "t2"]).select(F.col("doc").alias(doc), "n_words", "mean_pmi", "excessive", "flagged")
+    return held.select("doc", "t1", "t2").join(scores, ["t1", "t2"]).select(F.col("doc").alias(doc), "n_words", "mean_pmi", "excessive", "flagged", "excessive_left", "flagged_left")
 
 
 def is_stuffed() -> object:
-    return (F.col("flagged") > MOST) & (F.col("excessive") >= EXCESSIVE)
+    return (F.col("flagged_left") > MOST) & (F.col("excessive_left") >= EXCESSIVE)
 
 
 def is_salad() -> object:
     """Incoherent for the most part without repeating anything."""
-    return (F.col("flagged") > MOST) & (F.col("excessive") < EXCESSIVE)
+    return (F.col("flagged_left") > MOST) & (F.col("excessive_left") < EXCESSIVE)

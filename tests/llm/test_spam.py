@@ -82,3 +82,13 @@ def test_copies_in_many_tasks_count_once(spark):
 
 def test_empty(spark):
     assert spam.text_scores(table(spark, []), "doc_id", "text").collect() == []
+
+
+def test_repeated_keyword_lines_are_found_and_repeated_sentences_are_not(spark):
+    rng = random.Random(9)
+    rows = corpus()
+    nine, thirteen = "shop floor to let in Rosewater number one deal.", "cheap Rosewater shop rent Rosewater office buy Rosewater flat deal Rosewater plot sale"
+    rows += [(3000, f"{nine} " * 60), (3001, "\n".join([thirteen] * 40)), (3002, f"{nine} " * 60 + sentences(rng, 12)), (3003, f"{sentences(rng, 1)} " * 60), (3004, f"{sentences(rng, 3)} " * 30 + "cheap house buy house " * 8)]
+    scores = spam.text_scores(table(spark, rows), "doc_id", "text").cache()
+    assert {r["doc_id"] for r in scores.filter(spam.is_stuffed()).collect()} == {1000, 1001, 3000, 3001, 3002}
+    assert {r["doc_id"]: r["n_words"] for r in scores.filter("doc_id >= 3000").collect()} == {d: len(spam.NOT_WORD.sub(" ", t).split()) - 1 for d, t in rows if d >= 3000}
