@@ -11,8 +11,9 @@ excessively. A sentence that a text repeats is no stuffing as long as its pairs
 are coherent, a keyword line that it repeats is. Shuffled sentences are incoherent without repeating anything and
 stay apart.
 
-Texts are looked at once however often they are copied. Counts are exact, over
-the whole corpus, keyed by a 32-bit hash of each word of a pair.
+Texts are looked at once however often they are copied, and texts that are
+nearly equal count as one: of a group of near copies a pair has the count of
+the copy that holds it most. Counts are over the whole corpus, keyed by a 32-bit hash of each word of a pair.
 """
 
 from __future__ import annotations
@@ -42,9 +43,11 @@ FLAGGED, EXCESSIVE, MOST = 0.5, 0.2, 0.5
 SENTENCE_WORDS = 8
 #: A repeated sentence with a smaller share of incoherent pairs is no stuffing.
 STRANGE = 0.25
+#: Near copies: words in a shingle, minima of a signature, the first of them by which copies meet, and how many must agree.
+SHINGLE, MINIMA, MEET, AGREE = 8, 32, 8, 16
 CHUNK_WORDS = 500_000
 SENTENCE_END = re.compile(r"(?<=[.!?])\s+|\n+")
-ROWS = "t1 bigint, t2 bigint, place int, pair bigint, n_pair int, n_once int, n_word int, n_words int, line int, again boolean"
+ROWS = "t1 bigint, t2 bigint, cls bigint, place int, pair bigint, n_pair int, n_once int, n_word int, n_words int, line int, again boolean"
 
 
 def read_lines(text: str) -> tuple[list[str], list[int], list[bool]]:
@@ -78,9 +81,55 @@ def counts(group: np.ndarray, value: np.ndarray, weight: np.ndarray | None = Non
     return out
 
 
+def signatures(texts: DataFrame) -> DataFrame:
+    """(t1, t2, sig) of distinct texts (t1, t2, text): MINIMA minima of hashed runs of SHINGLE words."""
+    rng = np.random.default_rng(42)
+    times, plus = (rng.integers(1, 1 << 63, MINIMA, np.uint64) | np.uint64(1) for _ in range(2))
+    powers = np.array([pow(0x9E3779B97F4A7C15, i, 1 << 64) for i in range(1, SHINGLE + 1)], np.uint64)
+
+    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, sigs = {}, []
+            for t1, t2, text in zip(*(batch[c].to_pylist() for c in ("t1", "t2", "text"))):
+                if (t1, t2) in keys:
+                    continue
+                w = [xxhash.xxh32_intdigest(x) for x in read_words(text)]
+                if len(w) < 2:
+                    continue
+                keys[t1, t2] = True
+                w = np.array(w + [0] * (SHINGLE - len(w)), np.uint64)
+                n = len(w) - SHINGLE + 1
+                runs = np.zeros(n, np.uint64)
+                for i in range(SHINGLE):
+                    runs += w[i : i + n] * powers[i]
+                runs = np.unique(runs)
+                runs ^= runs >> np.uint64(29)
+                least = np.full(MINIMA, 0xFFFFFFFF, np.uint64)
+                for a in range(0, len(runs), 65_536):
+                    part = (runs[a : a + 65_536, None] * times + plus) >> np.uint64(32)
+                    least = np.minimum(least, part.min(axis=0))
+                sigs.append(least.astype(np.int64))
+            if sigs:
+                k = np.array(list(keys), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(k[:, 0]), pa.array(k[:, 1]), pa.array(sigs, pa.list_(pa.int64()))], ["t1", "t2", "sig"])
+
+    return texts.mapInArrow(signed, "t1 bigint, t2 bigint, sig array<bigint>").dropDuplicates(["t1", "t2"])
+
+
+def near_copies(texts: DataFrame) -> DataFrame:
+    """(t1, t2, near): the group of near copies of each text that has any. Texts meet by equal minima, join the greatest group of whose first text they share at least AGREE minima."""
+    sigs = cut_lineage(signatures(texts))
+    met = sigs.select("t1", "t2", "sig", F.posexplode(F.slice("sig", 1, MEET)).alias("h", "v"))
+    groups = met.groupBy("h", "v").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("t1", "t2", "sig")).alias("head")).filter("n > 1")
+    alike = F.aggregate(F.zip_with("sig", F.col("head.sig"), lambda a, b: F.when(a == b, 1).otherwise(0)), F.lit(0), lambda a, b: a + b)
+    found = met.join(groups, ["h", "v"]).filter(alike >= AGREE)
+    best = found.groupBy("t1", "t2").agg(F.max(F.struct("n", "h", "v")).alias("best"))
+    return best.select("t1", "t2", F.xxhash64("best.h", "best.v").alias("near"))
+
+
 def pair_rows(texts: DataFrame) -> DataFrame:
-    """ROWS from (t1, t2, text): each pair of neighbouring words with its place, its count in the text, that without repeats of sentences, the first word's count, all pairs of the text, and the repeated sentence it begins in."""
-    out = pa.schema([("t1", pa.int64()), ("t2", pa.int64()), ("place", pa.int32()), ("pair", pa.int64()), ("n_pair", pa.int32()), ("n_once", pa.int32()), ("n_word", pa.int32()), ("n_words", pa.int32()), ("line", pa.int32()), ("again", pa.bool_())])
+    """ROWS from (t1, t2, cls, text): each pair of neighbouring words with its place, its count in the text, that without repeats of sentences, the first word's count, all pairs of the text, and the repeated sentence it begins in."""
+    out = pa.schema([("t1", pa.int64()), ("t2", pa.int64()), ("cls", pa.int64()), ("place", pa.int32()), ("pair", pa.int64()), ("n_pair", pa.int32()), ("n_once", pa.int32()), ("n_word", pa.int32()), ("n_words", pa.int32()), ("line", pa.int32()), ("again", pa.bool_())])
 
     def flat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes: dict[str, int] = {}
@@ -93,7 +142,7 @@ def pair_rows(texts: DataFrame) -> DataFrame:
                 h = hashes[w] = xxhash.xxh32_intdigest(w)
             return h
 
-        def flush(keys: list[tuple[int, int]], docs: list[np.ndarray], lines: list[np.ndarray], repeats: list[np.ndarray]) -> pa.RecordBatch:
+        def flush(keys: list[tuple[int, int, int]], docs: list[np.ndarray], lines: list[np.ndarray], repeats: list[np.ndarray]) -> pa.RecordBatch:
             pairs = np.array([len(d) - 1 for d in docs])
             doc = np.repeat(np.arange(len(docs)), pairs)
             first = np.concatenate([d[:-1] for d in docs])
@@ -102,19 +151,16 @@ def pair_rows(texts: DataFrame) -> DataFrame:
             pair = ((first << np.uint64(32)) | second).view(np.int64)
             k = np.array(keys, np.int64)
             again = np.concatenate([r[:-1] for r in repeats])
-            cols = [k[doc, 0], k[doc, 1], at, pair, counts(doc, pair), counts(doc, pair, (~again).astype(np.int64)), counts(doc, first), pairs[doc], np.concatenate([n[:-1] for n in lines]), again]
+            cols = [k[doc, 0], k[doc, 1], k[doc, 2], at, pair, counts(doc, pair), counts(doc, pair, (~again).astype(np.int64)), counts(doc, first), pairs[doc], np.concatenate([n[:-1] for n in lines]), again]
             return pa.RecordBatch.from_arrays([pa.array(c.astype(f.type.to_pandas_dtype()), f.type) for c, f in zip(cols, out)], schema=out)
 
         for batch in batches:
-            keys, docs, lines, repeats, size, seen = [], [], [], [], 0, set()
-            for key in zip(batch["t1"].to_pylist(), batch["t2"].to_pylist(), range(batch.num_rows)):
-                if key[:2] in seen:
-                    continue
-                seen.add(key[:2])
-                w, line, again = read_lines(batch["text"][key[2]].as_py())
+            keys, docs, lines, repeats, size = [], [], [], [], 0
+            for *key, text in zip(*(batch[c].to_pylist() for c in ("t1", "t2", "cls", "text"))):
+                w, line, again = read_lines(text)
                 if len(w) < 2:
                     continue
-                keys.append(key[:2])
+                keys.append(tuple(key))
                 docs.append(np.fromiter(map(hashed, w), np.uint64, len(w)))
                 lines.append(np.array(line, np.int32))
                 repeats.append(np.array(again, bool))
@@ -140,10 +186,14 @@ def text_scores(documents: DataFrame, doc: str, text: str) -> DataFrame:
     """
     held = documents.filter(F.col(doc).isNotNull() & F.col(text).isNotNull()).select(F.col(doc).alias("doc"), F.col(text).alias("text"))
     held = held.withColumn("t1", F.xxhash64("text")).withColumn("t2", F.xxhash64(F.lit(1), F.col("text")))
-    # a copy of a text in another task gives the same rows: distinct drops them where they meet, by pair
-    rows = pair_rows(held.select("t1", "t2", "text")).repartition("pair").distinct()
+    # equal texts meet before they are read; a text without near copies is a group of its own
+    texts = held.groupBy("t1", "t2").agg(F.first("text").alias("text"))
+    near = near_copies(held.select("t1", "t2", "text"))
+    rows = pair_rows(texts.join(near.hint("merge"), ["t1", "t2"], "left").select("t1", "t2", F.coalesce("near", "t1").alias("cls"), "text")).repartition("pair")
     # read four times below: without the cut, each would scan all texts again
-    pairs = cut_lineage(rows.groupBy("pair").agg(F.count(F.lit(1)).alias("total"), F.sum(F.when(F.col("again") | (F.col("n_once") >= REPEATS), 0).otherwise(1)).alias("once")))
+    once = F.when(F.col("n_once") < REPEATS, F.col("n_once")).otherwise(0)
+    most = rows.groupBy("pair", "cls").agg(F.max("n_pair").alias("total"), F.max(once).alias("once"))
+    pairs = cut_lineage(most.groupBy("pair").agg(F.sum("total").alias("total"), F.sum("once").alias("once")))
     pairs = pairs.withColumn("a", F.shiftright("pair", 32)).withColumn("b", F.col("pair").bitwiseAND(F.lit(0xFFFFFFFF)))
     first = pairs.groupBy("a").agg(F.sum("total").alias("as_first"), F.sum("once").alias("once_first"))
     second = pairs.groupBy("b").agg(F.sum("total").alias("as_second"), F.sum("once").alias("once_second"))
@@ -155,8 +205,7 @@ def text_scores(documents: DataFrame, doc: str, text: str) -> DataFrame:
     # twice the text's own count goes off, so that one near copy of it is no evidence
     elsewhere = F.greatest(F.col("total") - 2 * F.col("n_pair"), F.lit(0))
     # a repeated sentence is judged as if read once, and by texts that do not repeat its pairs: stuffed ones share their phrases
-    own = F.when(F.col("n_once") < REPEATS, F.col("n_once")).otherwise(0)
-    strange = F.greatest(F.col("once") - 2 * own, F.lit(0)) <= F.exp(F.lit(LEAST_PMI)) * F.col("once_first").cast("double") * F.col("once_second") / F.col("corpus_once")
+    strange = F.greatest(F.col("once") - 2 * once, F.lit(0)) <= F.exp(F.lit(LEAST_PMI)) * F.col("once_first").cast("double") * F.col("once_second") / F.col("corpus_once")
     incoherent = elsewhere < F.exp(F.lit(LEAST_PMI)) * chance
     excess = lambda n, total: (n >= REPEATS) & (n / F.col("n_words") >= EXCESS * (total - n + 1) / F.col("corpus"))
     stuffed_pair, stuffed_word = excess(F.col("n_pair"), F.col("total")), excess(F.col("n_word"), F.col("as_first"))

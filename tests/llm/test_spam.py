@@ -92,3 +92,11 @@ def test_repeated_keyword_lines_are_found_and_repeated_sentences_are_not(spark):
     scores = spam.text_scores(table(spark, rows), "doc_id", "text").cache()
     assert {r["doc_id"] for r in scores.filter(spam.is_stuffed()).collect()} == {1000, 1001, 3000, 3001, 3002}
     assert {r["doc_id"]: r["n_words"] for r in scores.filter("doc_id >= 3000").collect()} == {d: len(spam.NOT_WORD.sub(" ", t).split()) - 1 for d, t in rows if d >= 3000}
+
+
+def test_near_copies_count_as_one_text(spark):
+    rows = corpus()
+    page = rows[300][1]
+    rows += [(6000 + k, f"{page} last{k}") for k in range(250)]
+    found = spam.text_scores(table(spark, rows), "doc_id", "text").filter(spam.is_stuffed()).select("doc_id").collect()
+    assert {r["doc_id"] for r in found} == {1000, 1001} | {6000 + k for k in range(250)}
