@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketloom.constants import BUDGETS_POOL, BUDGETS_TOP10, CUTOFF, POOL_SIZE, TOP_K
+from marketloom.constants import BUDGETS_POOL, BUDGETS_TOP10, CUTOFF, ORDER_POOL, ORDER_TOP10, POOL_SIZE, TOP_K
 from marketloom.functions.ranking import best
 from marketloom.operators import candidates as c
 from marketloom.operators import cascade, cleaning, learned
@@ -64,8 +64,8 @@ def sources(t: Tables, users: DataFrame, names: list[str], k: int) -> list[casca
     return [build[n]() for n in names]
 
 
-SHALLOW = ["intent", "cocontact", "pv", "user_knn", "seller", "recent_cc", "segpop"]
-DEEP = ["pv", "intent", "cocontact", "user_knn", "seller", "recent_cc", "segpop"]
+#: The orders without the source that has a budget of 0.
+SHALLOW, DEEP = ([n for n in order if n != "als_view"] for order in (ORDER_TOP10, ORDER_POOL))
 
 
 def top_lists(t: Tables, names: list[str] = SHALLOW) -> DataFrame:
@@ -95,7 +95,7 @@ def c2_cascade_top10(t: Tables) -> DataFrame:
 
 @query("c2_cascade_with_als")
 def c2_cascade_with_als(t: Tables) -> DataFrame:
-    return top_lists(t, ["als", *SHALLOW])
+    return top_lists(t)
 
 
 @query("c3_tracked_pool")

@@ -4,7 +4,9 @@ import random
 
 import pytest
 
+from marketloom.constants import BUDGETS_POOL, ORDER_POOL, ORDER_TOP10
 from marketloom.operators import cascade as cs
+from marketloom.plans import cascade as plan
 from tests.support import tuples
 
 NAMES = ["pv", "cocontact", "intent", "als", "seller"]
@@ -73,3 +75,8 @@ def test_blend_of_two_sources(spark):
     a, b = frame([("u", "i1", 10.0), ("u", "i2", 5.0)]), frame([("u", "i3", 8.0), ("u", "i2", 2.0)])
     got = [(r["item_id"], round(r["score"], 6)) for r in cs.weighted_blend([(a, 0.7), (b, 0.3)], 5).orderBy("rank").collect()]
     assert got == [("i1", 0.7), ("i3", 0.3), ("i2", 0.0)]
+
+
+def test_plans_use_the_orders_of_the_constants():
+    assert plan.SHALLOW == ORDER_TOP10
+    assert plan.DEEP == [n for n in ORDER_POOL if BUDGETS_POOL.get(n, 1)]
