@@ -245,19 +245,22 @@ def intent(views: DataFrame, listings: DataFrame, valid: DataFrame | None, k: in
     return ranked.select(*USER_ITEM, (F.lit(k + 1) - F.col("rank")).cast("double").alias("score"), "rank")
 
 
-def user_knn(pairs: DataFrame, queries: DataFrame, k: int, history: int = 5, item_cap: int = 30, neighbour_cap: int = 30) -> DataFrame:
+def user_knn(pairs: DataFrame, queries: DataFrame | None, k: int, history: int = 5, item_cap: int = 30, neighbour_cap: int = 30) -> DataFrame:
     """Items of users who contacted the same items, by the number of ways they are reached.
 
-    Both caps bound the fan-out of every user and item.
+    Both caps bound the fan-out of every user and item. Users asked about are no
+    neighbours; without queries every user is asked and every other one may be a neighbour.
     """
     rows = pairs.filter("count > 0 and user_id is not null").groupBy(*USER_ITEM).agg(F.max("last_date").alias("last_date"))
     recent = [F.col("last_date").desc_nulls_last()]
     items = best(rows, ["user_id"], [*recent, F.col("item_id")], item_cap, "at")
-    asked = queries.select("user_id").distinct()
-    others = rows.join(asked, "user_id", "left_anti")
-    near = best(others, ["item_id"], [*recent, F.col("user_id")], neighbour_cap, "place").select("item_id", F.col("user_id").alias("neighbour"))
+    asked = rows.select("user_id").distinct() if queries is None else queries.select("user_id").distinct()
+    others = rows if queries is None else rows.join(asked, "user_id", "left_anti")
+    # one place more, as the user may hold one
+    near = best(others, ["item_id"], [*recent, F.col("user_id")], neighbour_cap + 1, "place").select("item_id", F.col("user_id").alias("neighbour"), "place")
     mine = items.join(asked, "user_id", "left_semi")
-    reached = mine.filter(F.col("at") <= history).join(near, "item_id").select("user_id", "neighbour")
+    paths = mine.filter(F.col("at") <= history).join(near, "item_id").filter(F.col("user_id") != F.col("neighbour"))
+    reached = best(paths, USER_ITEM, [F.col("place")], neighbour_cap, "nth").select("user_id", "neighbour")
     theirs = items.select(F.col("user_id").alias("neighbour"), "item_id")
     votes = reached.join(theirs, "neighbour").join(mine.select(*USER_ITEM), USER_ITEM, "left_anti").groupBy(*USER_ITEM).agg(F.count(F.lit(1)).alias("score"))
     return best(votes, ["user_id"], [F.col("score").desc(), F.col("item_id")], k)

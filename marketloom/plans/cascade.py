@@ -56,7 +56,7 @@ def sources(t: Tables, users: DataFrame, names: list[str], k: int) -> list[casca
         "intent": lambda: cascade.Source("intent", c.intent(cq.recent_views(t), t.listings, valid, BUDGETS_POOL["intent"] + k), cascade.INDEXED),
         "cocontact": lambda: cascade.Source("cocontact", c.cocontact(history, c.cocontact_graph(contacts, CUTOFF), seen.limit(0), BUDGETS_POOL["cocontact"] + k), cascade.PLACED_FIRST),
         "als": lambda: cascade.Source("als", learned.als_top(cleaning.weighted_contact_scores(t.events), users, BUDGETS_POOL["als"] if k > TOP_K else TOP_K, valid), cascade.WHOLE),
-        "user_knn": lambda: cascade.Source("user_knn", c.user_knn(contacts, cq.knn_queries(t), BUDGETS_POOL["user_knn"])),
+        "user_knn": lambda: cascade.Source("user_knn", c.user_knn(contacts, None, BUDGETS_POOL["user_knn"])),
         "seller": lambda: cascade.Source("seller", c.seller_expansion(contacts, t.listings, valid, BUDGETS_POOL["seller"])),
         "recent_cc": lambda: cascade.Source("recent_cc", recent_cc(), cascade.WHOLE),
         "segpop": lambda: cascade.Source("segpop", segment_source(t, cut_lineage(cq.segments(t)), prefs, k), cascade.REST),

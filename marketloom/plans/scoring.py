@@ -117,7 +117,7 @@ def x7_seller_affinity(t: Tables) -> DataFrame:
 @query("x8_collaborative")
 def x8_collaborative(t: Tables) -> DataFrame:
     """Factorisation ranks turned into a score, with a boost in the user's city."""
-    users = cq.knn_queries(t)
+    users = t.contact_pairs.filter("user_id is not null")
     ranked = learned.als_top(cleaning.weighted_contact_scores(t.events), users, 300, cq.valid_items(t))
     known = ranked.join(cq.prefs(t).select("user_id", "pref_city"), "user_id", "left").join(t.listings.select("item_id", "city_name"), "item_id", "left")
     return features.collaborative_score(known.withColumn("same", F.coalesce(F.col("city_name") == F.col("pref_city"), F.lit(False))), "same").select("user_id", "item_id", "rank", F.round("score_als", 6).alias("score_als"))
@@ -407,9 +407,9 @@ def g12_title_weights(t: Tables) -> DataFrame:
 
 @query("g12_content_based")
 def g12_content_based(t: Tables) -> DataFrame:
-    """Listings with titles like those of a user's five latest contacts, for one user in four."""
+    """Listings with titles like those of a user's five latest contacts."""
     history = c.user_history(t.contact_pairs).filter("rank <= 5")
-    return learned.content_based(cut_lineage(learned.tfidf(t.listings, "item_id", "title")), history, 10, cq.knn_queries(t))
+    return learned.content_based(cut_lineage(learned.tfidf(t.listings, "item_id", "title")), history, 10)
 
 
 @query("g13_als")

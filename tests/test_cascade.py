@@ -5,6 +5,7 @@ import random
 import pytest
 
 from marketloom.constants import BUDGETS_POOL, ORDER_POOL, ORDER_TOP10
+from marketloom.operators import candidates as c
 from marketloom.operators import cascade as cs
 from marketloom.plans import cascade as plan
 from tests.support import tuples
@@ -80,3 +81,10 @@ def test_blend_of_two_sources(spark):
 def test_plans_use_the_orders_of_the_constants():
     assert plan.SHALLOW == ORDER_TOP10
     assert plan.DEEP == [n for n in ORDER_POOL if BUDGETS_POOL.get(n, 1)]
+
+
+def test_knn_without_queries_asks_every_user(spark):
+    rows = [("a", "x"), ("a", "y"), ("b", "x"), ("b", "z"), ("c", "z")]
+    pairs = spark.createDataFrame(rows, "user_id string, item_id string").selectExpr("*", "date'2026-04-01' as last_date", "1 as count")
+    got = tuples(c.user_knn(pairs, None, 10, neighbour_cap=1).select("user_id", "item_id", "score"))
+    assert got == [("a", "z", 1), ("b", "y", 1), ("c", "x", 1)]
