@@ -34,14 +34,20 @@ def fit_als(scores: DataFrame, rank: int = 32, iterations: int = 5, reg: float =
     return users, items
 
 
-def nearest(queries: DataFrame, query: str, base: DataFrame, item: str, k: int, cosine: bool = False, blocks: int = 8) -> DataFrame:
+def nearest(queries: DataFrame, query: str, base: DataFrame, item: str, k: int, cosine: bool = False, blocks: int = 8, seen: DataFrame | None = None) -> DataFrame:
     """(query, item, score, rank): the k largest inner products of factor rows, by blocks of matrices.
 
     A stated set of queries meets all items: items are dealt to blocks, queries
-    copied to each, a block multiplies its matrices and gives k rows a query.
+    copied to each, a block multiplies its matrices and gives k rows a query. Pairs of seen (query, item)
+    are left out before the cut: a query's blocks give as many rows more as it has seen pairs.
     """
-    q = queries.select(F.col(query).alias("id"), F.col("factors"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(True).alias("is_query"))
-    b = base.select(F.col(item).alias("id"), F.col("factors"), F.pmod(F.xxhash64(item), F.lit(blocks)).cast("int").alias("block"), F.lit(False).alias("is_query"))
+    if seen is None:
+        asking = queries.withColumn("more", F.lit(0))
+    else:
+        seen = seen.select(query, item).distinct()
+        asking = queries.join(seen.groupBy(query).agg(F.count(F.lit(1)).cast("int").alias("more")), query, "left").fillna(0, ["more"])
+    q = asking.select(F.col(query).alias("id"), F.col("factors"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(True).alias("is_query"), "more")
+    b = base.select(F.col(item).alias("id"), F.col("factors"), F.pmod(F.xxhash64(item), F.lit(blocks)).cast("int").alias("block"), F.lit(False).alias("is_query"), F.lit(0).alias("more"))
 
     def multiply(part: pd.DataFrame) -> pd.DataFrame:
         asked, stock = part[part["is_query"]], part[~part["is_query"]].sort_values("id")
@@ -50,15 +56,19 @@ def nearest(queries: DataFrame, query: str, base: DataFrame, item: str, k: int,
         left, right = np.stack(asked["factors"].to_numpy()).astype(np.float64), np.stack(stock["factors"].to_numpy()).astype(np.float64)
         if cosine:
             left, right = (m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-12) for m in (left, right))
-        ids, names, out = asked["id"].to_numpy(), stock["id"].to_numpy(), []
+        ids, names, most, out = asked["id"].to_numpy(), stock["id"].to_numpy(), k + asked["more"].to_numpy(), []
         for a in range(0, len(left), 1024):
             s = left[a : a + 1024] @ right.T
-            order = np.argsort(-s, axis=1, kind="stable")[:, :k]
-            rows = np.repeat(np.arange(len(s)), order.shape[1])
-            out.append(pd.DataFrame({"query": ids[a + rows], "item": names[order.ravel()], "score": s[rows, order.ravel()]}))
+            n = most[a : a + 1024]
+            order = np.argsort(-s, axis=1, kind="stable")[:, : n.max()]
+            rows, at = np.nonzero(np.arange(order.shape[1]) < n[:, None])
+            cols = order[rows, at]
+            out.append(pd.DataFrame({"query": ids[a + rows], "item": names[cols], "score": s[rows, cols]}))
         return pd.concat(out)
 
     found = q.unionByName(b).groupBy("block").applyInPandas(multiply, "query string, item string, score double")
+    if seen is not None:
+        found = found.join(seen.select(F.col(query).alias("query"), F.col(item).alias("item")), ["query", "item"], "left_anti")
     return best(found, ["query"], [F.col("score").desc(), F.col("item")], k).select(F.col("query").alias(query), F.col("item").alias(item if item != query else "similar_id"), "score", "rank")
 
 

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.constants import CUTOFF
-from marketloom.functions.ranking import best
 from marketloom.operators import candidates as c
 from marketloom.operators import cleaning, features, learned, metrics, rules
 from marketloom.plans import candidates as cq
@@ -437,8 +436,7 @@ def g14_bpr(t: Tables) -> DataFrame:
     recent = t.contact_pairs.filter("user_id is not null and last_date > date'2026-03-10'")
     scores = cleaning.decayed_scores(recent, CUTOFF).withColumnRenamed("interaction_score", "score")
     users, items = learned.fit_bpr(scores)
-    found = learned.nearest(users, "user_id", items, "item_id", 40)
-    return best(found.drop("rank").join(recent.select("user_id", "item_id").distinct(), ["user_id", "item_id"], "left_anti"), ["user_id"], [F.col("score").desc(), F.col("item_id")], 10)
+    return learned.nearest(users, "user_id", items, "item_id", 10, seen=recent)
 
 
 @query("g15_graph_embeddings")

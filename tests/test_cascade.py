@@ -7,6 +7,7 @@ import pytest
 from marketloom.constants import BUDGETS_POOL, ORDER_POOL, ORDER_TOP10
 from marketloom.operators import candidates as c
 from marketloom.operators import cascade as cs
+from marketloom.operators import learned
 from marketloom.plans import cascade as plan
 from tests.support import tuples
 
@@ -88,3 +89,11 @@ def test_knn_without_queries_asks_every_user(spark):
     pairs = spark.createDataFrame(rows, "user_id string, item_id string").selectExpr("*", "date'2026-04-01' as last_date", "1 as count")
     got = tuples(c.user_knn(pairs, None, 10, neighbour_cap=1).select("user_id", "item_id", "score"))
     assert got == [("a", "z", 1), ("b", "y", 1), ("c", "x", 1)]
+
+
+def test_nearest_leaves_out_seen_items_before_the_cut(spark):
+    users = spark.createDataFrame([("u", [1.0]), ("v", [1.0])], "user_id string, factors array<double>")
+    items = spark.createDataFrame([(f"i{n:03d}", [float(n)]) for n in range(100)], "item_id string, factors array<double>")
+    seen = spark.createDataFrame([("u", f"i{n:03d}") for n in range(20, 100)], "user_id string, item_id string")
+    got = tuples(learned.nearest(users, "user_id", items, "item_id", 10, seen=seen).select("user_id", "rank", "item_id"))
+    assert got == sorted([("u", r, f"i{20 - r:03d}") for r in range(1, 11)] + [("v", r, f"i{100 - r:03d}") for r in range(1, 11)], key=repr)
