@@ -447,6 +447,7 @@ def e32_self_transition(t: Tables) -> DataFrame:
 def e33_recall_of_sources(t: Tables) -> DataFrame:
     """Recall of late contacts by each source, fitted on everything up to the split."""
     from datetime import date
+    from marketloom.constants import ITEMS_PER_SELLER
     from marketloom.operators import metrics
 
     split = date(2026, 4, 2)
@@ -455,7 +456,7 @@ def e33_recall_of_sources(t: Tables) -> DataFrame:
     sources = {
         "pageview replay": c.pageview_replay(t.events, split, cap=200),
         "co-contact": c.cocontact(c.user_history(old), c.cocontact_graph(old, split), old, 200),
-        "seller": c.seller_expansion(old, t.listings, cq.valid_items(t), 200),
+        "seller": c.seller_expansion(old, t.listings, cq.valid_items(t), 200, items_per_seller=ITEMS_PER_SELLER),
         "item to item": c.item2item(c.user_history(old), c.item2item_graph(t.events.filter(F.col("date") <= on("2026-04-02")), cq.valid_items(t)), t.listings, None, old, 200),
     }
     return reduce(DataFrame.unionByName, [metrics.averages(metrics.per_user(df.select("user_id", "item_id", "rank"), late, 200)).select(F.lit(name).alias("source"), "n_users", r6(F.col("recall"), "recall"), r6(F.col("hit_rate"), "hit_rate")) for name, df in sources.items()])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketloom.constants import BUDGETS_POOL, BUDGETS_TOP10, CUTOFF, ORDER_POOL, ORDER_TOP10, POOL_SIZE, TOP_K
+from marketloom.constants import BUDGETS_POOL, BUDGETS_TOP10, CUTOFF, ITEMS_PER_SELLER, ORDER_POOL, ORDER_TOP10, POOL_SIZE, TOP_K
 from marketloom.functions.ranking import best
 from marketloom.operators import candidates as c
 from marketloom.operators import cascade, cleaning, learned
@@ -57,7 +57,7 @@ def sources(t: Tables, users: DataFrame, names: list[str], k: int) -> list[casca
         "cocontact": lambda: cascade.Source("cocontact", c.cocontact(history, c.cocontact_graph(contacts, CUTOFF), seen.limit(0), BUDGETS_POOL["cocontact"] + k), cascade.PLACED_FIRST),
         "als": lambda: cascade.Source("als", learned.als_top(cleaning.weighted_contact_scores(t.events), users, BUDGETS_POOL["als"] if k > TOP_K else TOP_K, valid), cascade.WHOLE),
         "user_knn": lambda: cascade.Source("user_knn", c.user_knn(contacts, None, BUDGETS_POOL["user_knn"])),
-        "seller": lambda: cascade.Source("seller", c.seller_expansion(contacts, t.listings, valid, BUDGETS_POOL["seller"])),
+        "seller": lambda: cascade.Source("seller", c.seller_expansion(contacts, t.listings, valid, BUDGETS_POOL["seller"], items_per_seller=ITEMS_PER_SELLER)),
         "recent_cc": lambda: cascade.Source("recent_cc", recent_cc(), cascade.WHOLE),
         "segpop": lambda: cascade.Source("segpop", segment_source(t, cut_lineage(cq.segments(t)), prefs, k), cascade.REST),
     }

@@ -1,6 +1,7 @@
 """The fold against a plain simulation of filling each user's list source by source."""
 
 import random
+from types import SimpleNamespace
 
 import pytest
 
@@ -97,3 +98,12 @@ def test_nearest_leaves_out_seen_items_before_the_cut(spark):
     seen = spark.createDataFrame([("u", f"i{n:03d}") for n in range(20, 100)], "user_id string, item_id string")
     got = tuples(learned.nearest(users, "user_id", items, "item_id", 10, seen=seen).select("user_id", "rank", "item_id"))
     assert got == sorted([("u", r, f"i{20 - r:03d}") for r in range(1, 11)] + [("v", r, f"i{100 - r:03d}") for r in range(1, 11)], key=repr)
+
+
+def test_cascade_offers_fifty_listings_of_a_seller(spark, monkeypatch):
+    listings = spark.createDataFrame([(f"i{n:03d}", "s") for n in range(60)], "item_id string, seller_id string")
+    contacts = spark.createDataFrame([("u", "i059")], "user_id string, item_id string").selectExpr("*", "date'2026-04-01' as last_date", "1 as count", "'c' as city_name", "'k' as category")
+    monkeypatch.setattr(plan.cq, "valid_items", lambda t: listings)
+    monkeypatch.setattr(plan.cq, "prefs", lambda t: contacts.select("user_id"))
+    [source] = plan.sources(SimpleNamespace(contact_pairs=contacts, listings=listings), contacts, ["seller"], 200)
+    assert source.rows.count() == BUDGETS_POOL["seller"]
