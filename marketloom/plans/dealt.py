@@ -140,8 +140,10 @@ def signed(events: DataFrame, sign: int) -> DataFrame:
 
 
 def loaded_and_late(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Deliveries without a date count as loaded."""
     versions = event_versions(t)
-    return once(versions.filter(F.col("date") <= F.lit(LOADED_UNTIL).cast("date"))), once(versions.filter(F.col("date") > F.lit(LOADED_UNTIL).cast("date")))
+    late = F.coalesce(F.col("date") > F.lit(LOADED_UNTIL).cast("date"), F.lit(False))
+    return once(versions.filter(~late)), once(versions.filter(late))
 
 
 def current_features(t: Tables) -> DataFrame:

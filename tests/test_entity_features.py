@@ -65,3 +65,15 @@ def test_one_row_an_entity(spark):
     assert got.keys() == {"a", "b"} and [f["kind"] for f in got["a"]["features"]] == ["v", "w"] and got["a"]["n"] == 2 and got["b"]["last"] is None
     wide = {r["entity"]: r for r in ef.wide(state, ["v", "none"]).collect()}
     assert (wide["a"]["n_v"], wide["a"]["total_v"], wide["a"]["last_v"], wide["a"]["n_none"], wide["a"]["last_none"]) == (1, 1, 3, 0, None)
+
+
+def test_deliveries_without_a_date_count_as_loaded(spark):
+    from types import SimpleNamespace
+
+    from marketloom.plans import dealt
+
+    rows = [("e1", "u", "lead", 1, None), ("e2", "u", "lead", 1, "2026-03-01"), ("e3", "u", "lead", 1, "2026-04-01")]
+    events = spark.createDataFrame(rows, "event_id string, user_id string, event_type string, dwell_time_sec int, date string").selectExpr("* except (date)", "cast(date as date) as date", "timestamp_ntz'2026-03-01 00:00:00' as event_ts")
+    loaded, late = dealt.loaded_and_late(SimpleNamespace(events=events))
+    assert {r["event_id"] for r in loaded.collect()} == {"e1", "e2"}
+    assert {r["event_id"] for r in late.collect()} == {"e3"}
