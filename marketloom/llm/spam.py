@@ -2,236 +2,368 @@
 
 Neighbouring words of sentences belong together elsewhere in the corpus too.
 For every pair of neighbouring words the pointwise mutual information is taken
-from counts over all other texts; pairs about as frequent as chance, or never
-seen elsewhere, are incoherent. Pairs and words that a text repeats far more
-often than the corpus does are excessive. Windows of words in which half the
-positions are incoherent or excessive are no sentences, and a text is stuffed
-when such windows hold more than half of its words and it repeats words
-excessively. A sentence that a text repeats is no stuffing as long as its pairs
-are coherent, a keyword line that it repeats is. Shuffled sentences are incoherent without repeating anything and
-stay apart.
-
-Texts are looked at once however often they are copied, and texts that are
-nearly equal count as one: of a group of near copies a pair has the count of
-the copy that holds it most. Counts are over the whole corpus, keyed by a 32-bit hash of each word of a pair.
+from corpus counts. A text's windows of words are judged by the mean of it,
+where pairs that no other text holds in plain sentences, and words and pairs
+that the text repeats far more often than the corpus does, count 0. Windows of
+a small mean are no sentences. A text is stuffed when they hold more than half
+of its words and enough of its words are repeated excessively; if they are not,
+it is word salad, which stays apart.
+
+All words of a text are scored. A sentence that a text repeats is exempt when
+it is coherent by the same mean and does not consist of words that the text
+repeats in other sentences too; a keyword line that it repeats is not.
+
+Corpus counts are numbers of texts that hold a pair, so repeats inside a text
+add nothing, and near copies of a text count as one. Each text is read once,
+into blocks of hashed words; a block sends one row for each of its different
+pairs, however often they occur, so a frequent pair is no hot key.
 """
 
 from __future__ import annotations
 
-import re
-from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from marketloom.llm.text import NOT_WORD, fold
+from marketloom.llm.text import char_kinds, kinds, powers, word_codes
 from marketloom.session import cut_lineage
 
-#: Words in a window.
-WINDOW = 24
-#: Pairs with less mutual information, in nats, are incoherent.
-LEAST_PMI = 1.0
-#: Times the corpus rate at which a repeated pair or word is excessive, and how often a text must have it.
-EXCESS, REPEATS = 8.0, 3
-#: Share of flagged positions in a window, of excessive words in a text, and of words in flagged windows.
-FLAGGED, EXCESSIVE, MOST = 0.5, 0.2, 0.5
-#: Words a sentence or line must have to be looked at as a whole when it is repeated.
-SENTENCE_WORDS = 8
-#: A repeated sentence with a smaller share of incoherent pairs is no stuffing.
-STRANGE = 0.25
+
+@dataclass(frozen=True)
+class Limits:
+    """What decides; every value holds at any corpus size."""
+
+    #: Words in a window.
+    window: int = 24
+    #: Windows of a smaller mean association, in nats, are no sentences; one pair counts no more than cap.
+    least: float = 1.4
+    cap: float = 3.0
+    #: Times the corpus rate at which a repeated pair or word is excessive, and how often a text must have it.
+    excess: float = 8.0
+    repeats: int = 3
+    #: In a window with a smaller share of pairs that make up so much of the text, pairs are evidence for other texts.
+    plain: float = 0.25
+    dense: float = 1 / 64
+    #: Words a sentence must have to be looked at as a whole when it is repeated, and the share of excessive words it may have.
+    sentence_words: int = 8
+    loud: float = 0.25
+    #: Share of words in windows that are no sentences, and of excessive words, beyond which a text is stuffed.
+    most: float = 0.5
+    excessive: float = 0.2
+
+
+LIMITS = Limits()
 #: Near copies: words in a shingle, minima of a signature, the first of them by which copies meet, and how many must agree.
 SHINGLE, MINIMA, MEET, AGREE = 8, 32, 8, 16
-CHUNK_WORDS = 500_000
-SENTENCE_END = re.compile(r"(?<=[.!?])\s+|\n+")
-ROWS = "t1 bigint, t2 bigint, cls bigint, place int, pair bigint, n_pair int, n_once int, n_word int, n_words int, line int, again boolean"
-
-
-def read_lines(text: str) -> tuple[list[str], list[int], list[bool]]:
-    """The folded words of a text; for each the number of its sentence if that has SENTENCE_WORDS and is repeated, else -1, and whether the sentence stood there before."""
-    sentences = [w for w in (NOT_WORD.sub(" ", s).split() for s in SENTENCE_END.split(fold(text))) if w]
-    keys = [tuple(w) if len(w) >= SENTENCE_WORDS else None for w in sentences]
-    n, seen = Counter(keys), {}
-    out, line, again = [], [], []
-    for i, (w, key) in enumerate(zip(sentences, keys)):
-        repeated = key is not None and n[key] > 1
-        first = seen.setdefault(key, i) if repeated else i
-        out += w
-        line += [first if repeated else -1] * len(w)
-        again += [first < i] * len(w)
-    return out, line, again
-
-
-def read_words(text: str) -> list[str]:
-    """All folded words of a text."""
-    return read_lines(text)[0]
-
-
-def counts(group: np.ndarray, value: np.ndarray, weight: np.ndarray | None = None) -> np.ndarray:
-    """For each place how often its value occurs in its group, or the sum of weights there."""
-    order = np.lexsort((value, group))
-    g, v = group[order], value[order]
-    starts = np.flatnonzero(np.concatenate(([True], (g[1:] != g[:-1]) | (v[1:] != v[:-1]))))
-    n = np.diff(np.append(starts, len(order)))
-    out = np.empty(len(order), np.int64)
-    out[order] = np.repeat(n if weight is None else np.add.reduceat(weight[order], starts), n)
-    return out
-
-
-def signatures(texts: DataFrame) -> DataFrame:
-    """(t1, t2, sig) of distinct texts (t1, t2, text): MINIMA minima of hashed runs of SHINGLE words."""
+#: A block ends with the text that fills it.
+BLOCK_WORDS = 1 << 19
+#: Bits for the place of a text in its block, and of a block in its partition.
+TEXT_BITS, BLOCK_BITS = 21, 16
+
+
+def ranks(group: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """For each place the number of its (group, value), both small numbers from 0, counted from 0."""
+    return np.unique(group * (int(value.max(initial=0)) + 1) + value, return_inverse=True)[1]
+
+
+def runs_of(*keys: np.ndarray) -> np.ndarray:
+    """For each place the number of the run of equal keys that it stands in."""
+    new = np.zeros(len(keys[0]), bool)
+    for k in keys:
+        new[1:] |= k[1:] != k[:-1]
+    return np.cumsum(new)
+
+
+def tally(of: np.ndarray, weight: np.ndarray | None = None) -> np.ndarray:
+    """For each place how often its number occurs, or the sum of weights there."""
+    return np.bincount(of, weights=weight)[of] if len(of) else np.zeros(0)
+
+
+def signatures(words: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
+    """MINIMA minima of hashed runs of SHINGLE words, or of the whole shorter text, for each of n texts of at least one word."""
     rng = np.random.default_rng(42)
     times, plus = (rng.integers(1, 1 << 63, MINIMA, np.uint64) | np.uint64(1) for _ in range(2))
-    powers = np.array([pow(0x9E3779B97F4A7C15, i, 1 << 64) for i in range(1, SHINGLE + 1)], np.uint64)
-
-    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    begins = np.searchsorted(text, np.arange(n))
+    runs = np.zeros(len(words), np.uint64)
+    for i, p in enumerate(powers(0x9E3779B97F4A7C15, SHINGLE + 1)[1:]):
+        inside = text[i:] == text[: len(text) - i]
+        runs[: len(words) - i] += np.where(inside, words[i:].astype(np.uint64) * p, np.uint64(0))
+    runs ^= runs >> np.uint64(29)
+    whole = np.zeros(len(words), bool)
+    whole[: len(words) - SHINGLE + 1] = text[SHINGLE - 1 :] == text[: len(text) - SHINGLE + 1]
+    whole[begins] = True
+    runs, begins = runs[whole], np.searchsorted(text[whole], np.arange(n))
+    return np.stack([np.minimum.reduceat((runs * t + p) >> np.uint64(32), begins) for t, p in zip(times, plus)], axis=1).astype(np.uint32)
+
+
+def read_blocks(documents: DataFrame, doc: str, text: str) -> DataFrame:
+    """(block, n_texts, docs, words, owners, sentences, sigs) of texts with at least two words; all but the first three are packed numbers."""
+    rows = documents.filter(F.col(doc).isNotNull() & F.col(text).isNotNull()).select(F.col(doc).alias("doc"), F.col(text).alias("text"))
+    binary = ["words", "owners", "sentences", "sigs"]
+    schema = T.StructType([T.StructField("block", T.LongType()), T.StructField("n_texts", T.IntegerType()), T.StructField("docs", T.ArrayType(rows.schema["doc"].dataType)), *[T.StructField(c, T.BinaryType()) for c in binary]])
+    packed = char_kinds()
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind, number = kinds(packed), 0
+
+        def block(held: list[tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+            nonlocal number
+            docs = pa.concat_arrays([h[0] for h in held])
+            shift = np.cumsum([0, *[len(h[0]) for h in held]])
+            words, owners = np.concatenate([h[1] for h in held]), np.concatenate([h[2] + s for h, s in zip(held, shift)])
+            first = np.concatenate([h[3] for h in held])
+            at = TaskContext.get().partitionId() << BLOCK_BITS | number
+            number += 1
+            sigs = signatures(words, owners, len(docs))
+            cols = [pa.array([at]), pa.array([len(docs)], pa.int32()), pa.ListArray.from_arrays(pa.array([0, len(docs)], pa.int32()), docs)]
+            cols += [pa.array([x.tobytes()], pa.binary()) for x in (words, owners.astype(np.int32), np.packbits(first), sigs)]
+            return pa.RecordBatch.from_arrays(cols, ["block", "n_texts", "docs", *binary])
+
+        held, size = [], 0
         for batch in batches:
-            keys, sigs = {}, []
-            for t1, t2, text in zip(*(batch[c].to_pylist() for c in ("t1", "t2", "text"))):
-                if (t1, t2) in keys:
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                words, owners, sentences = word_codes(part["text"].to_pylist(), kind)
+                n = np.bincount(owners, minlength=part.num_rows)
+                keep = (n > 1)[owners]
+                words, owners, sentences = words[keep], owners[keep], sentences[keep]
+                if not len(words):
                     continue
-                w = [xxhash.xxh32_intdigest(x) for x in read_words(text)]
-                if len(w) < 2:
-                    continue
-                keys[t1, t2] = True
-                w = np.array(w + [0] * (SHINGLE - len(w)), np.uint64)
-                n = len(w) - SHINGLE + 1
-                runs = np.zeros(n, np.uint64)
-                for i in range(SHINGLE):
-                    runs += w[i : i + n] * powers[i]
-                runs = np.unique(runs)
-                runs ^= runs >> np.uint64(29)
-                least = np.full(MINIMA, 0xFFFFFFFF, np.uint64)
-                for a in range(0, len(runs), 65_536):
-                    part = (runs[a : a + 65_536, None] * times + plus) >> np.uint64(32)
-                    least = np.minimum(least, part.min(axis=0))
-                sigs.append(least.astype(np.int64))
-            if sigs:
-                k = np.array(list(keys), np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(k[:, 0]), pa.array(k[:, 1]), pa.array(sigs, pa.list_(pa.int64()))], ["t1", "t2", "sig"])
-
-    return texts.mapInArrow(signed, "t1 bigint, t2 bigint, sig array<bigint>").dropDuplicates(["t1", "t2"])
-
-
-def near_copies(texts: DataFrame) -> DataFrame:
-    """(t1, t2, near): the group of near copies of each text that has any. Texts meet by equal minima, join the greatest group of whose first text they share at least AGREE minima."""
-    sigs = cut_lineage(signatures(texts))
-    met = sigs.select("t1", "t2", "sig", F.posexplode(F.slice("sig", 1, MEET)).alias("h", "v"))
-    groups = met.groupBy("h", "v").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("t1", "t2", "sig")).alias("head")).filter("n > 1")
-    alike = F.aggregate(F.zip_with("sig", F.col("head.sig"), lambda a, b: F.when(a == b, 1).otherwise(0)), F.lit(0), lambda a, b: a + b)
-    found = met.join(groups, ["h", "v"]).filter(alike >= AGREE)
-    best = found.groupBy("t1", "t2").agg(F.max(F.struct("n", "h", "v")).alias("best"))
-    return best.select("t1", "t2", F.xxhash64("best.h", "best.v").alias("near"))
-
-
-def pair_rows(texts: DataFrame) -> DataFrame:
-    """ROWS from (t1, t2, cls, text): each pair of neighbouring words with its place, its count in the text, that without repeats of sentences, the first word's count, all pairs of the text, and the repeated sentence it begins in."""
-    out = pa.schema([("t1", pa.int64()), ("t2", pa.int64()), ("cls", pa.int64()), ("place", pa.int32()), ("pair", pa.int64()), ("n_pair", pa.int32()), ("n_once", pa.int32()), ("n_word", pa.int32()), ("n_words", pa.int32()), ("line", pa.int32()), ("again", pa.bool_())])
-
-    def flat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes: dict[str, int] = {}
-
-        def hashed(w: str) -> int:
-            h = hashes.get(w)
-            if h is None:
-                if len(hashes) > 1_000_000:
-                    hashes.clear()
-                h = hashes[w] = xxhash.xxh32_intdigest(w)
-            return h
-
-        def flush(keys: list[tuple[int, int, int]], docs: list[np.ndarray], lines: list[np.ndarray], repeats: list[np.ndarray]) -> pa.RecordBatch:
-            pairs = np.array([len(d) - 1 for d in docs])
-            doc = np.repeat(np.arange(len(docs)), pairs)
-            first = np.concatenate([d[:-1] for d in docs])
-            second = np.concatenate([d[1:] for d in docs])
-            at = np.arange(len(doc)) - np.repeat(np.cumsum(pairs) - pairs, pairs)
-            pair = ((first << np.uint64(32)) | second).view(np.int64)
-            k = np.array(keys, np.int64)
-            again = np.concatenate([r[:-1] for r in repeats])
-            cols = [k[doc, 0], k[doc, 1], k[doc, 2], at, pair, counts(doc, pair), counts(doc, pair, (~again).astype(np.int64)), counts(doc, first), pairs[doc], np.concatenate([n[:-1] for n in lines]), again]
-            return pa.RecordBatch.from_arrays([pa.array(c.astype(f.type.to_pandas_dtype()), f.type) for c, f in zip(cols, out)], schema=out)
+                first = (np.diff(sentences, prepend=-1) != 0) | (np.diff(owners, prepend=-1) != 0)
+                held.append((part["doc"].filter(pa.array(n > 1)), words, (np.cumsum(n > 1) - 1)[owners], first))
+                size += len(words)
+                if size >= BLOCK_WORDS:
+                    yield block(held)
+                    held, size = [], 0
+        if held:
+            yield block(held)
+
+    return rows.mapInArrow(read, schema)
+
 
+def near_copies(blocks: DataFrame) -> DataFrame:
+    """(block, members: array of (at, cls)): the texts that have near copies and the class they share with them.
+
+    Texts meet by equal minima and join the greatest group with whose first
+    text they share at least AGREE minima. A class is named by that first text.
+    """
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, docs, lines, repeats, size = [], [], [], [], 0
-            for *key, text in zip(*(batch[c].to_pylist() for c in ("t1", "t2", "cls", "text"))):
-                w, line, again = read_lines(text)
-                if len(w) < 2:
-                    continue
-                keys.append(tuple(key))
-                docs.append(np.fromiter(map(hashed, w), np.uint64, len(w)))
-                lines.append(np.array(line, np.int32))
-                repeats.append(np.array(again, bool))
-                size += len(w)
-                if size > CHUNK_WORDS:
-                    yield flush(keys, docs, lines, repeats)
-                    keys, docs, lines, repeats, size = [], [], [], [], 0
-            if docs:
-                yield flush(keys, docs, lines, repeats)
-
-    return texts.mapInArrow(flat, ROWS)
-
-
-def text_scores(documents: DataFrame, doc: str, text: str) -> DataFrame:
-    """(doc, n_words, mean_pmi, excessive, flagged, excessive_left, flagged_left) of documents with at least two words.
-
-    n_words counts pairs of neighbouring words; mean_pmi is over all of them;
-    excessive is the share of words repeated excessively, flagged that of words
-    in windows that are no sentences, both of the whole text. In excessive_left and
-    flagged_left the words of repeated sentences of coherent pairs count as words, but
-    never as evidence. Null ids and texts are left out; equal texts get
-    equal scores; an empty table gives no rows; other columns are never read.
+            for block, sigs in zip(batch["block"].to_pylist(), batch["sigs"]):
+                s = np.frombuffer(sigs.as_py(), np.uint32).reshape(-1, MINIMA).view(np.int32)
+                tid = (block << TEXT_BITS) + np.arange(len(s))
+                for at in range(0, len(s), 10_000):
+                    part = s[at : at + 10_000]
+                    offsets = pa.array(np.arange(len(part) + 1) * MINIMA, pa.int32())
+                    yield pa.RecordBatch.from_arrays([pa.array(tid[at : at + 10_000]), pa.ListArray.from_arrays(offsets, pa.array(part.ravel()))], ["tid", "sig"])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, sigs in zip(batch["block"].to_pylist(), batch["sigs"]):
+                s = np.frombuffer(sigs.as_py(), np.uint32).reshape(-1, MINIMA)[:, :MEET].astype(np.int64)
+                tid = np.repeat((block << TEXT_BITS) + np.arange(len(s)), MEET)
+                at = (s | np.arange(MEET) << 32).ravel()
+                for i in range(0, len(at), 100_000):
+                    yield pa.RecordBatch.from_arrays([pa.array(tid[i : i + 100_000]), pa.array(at[i : i + 100_000])], ["tid", "at"])
+
+    packed = blocks.select("block", "sigs")
+    sigs = packed.mapInArrow(spread, "tid bigint, sig array<int>")
+    met = packed.mapInArrow(meet, "tid bigint, at bigint")
+    groups = met.groupBy("at").agg(F.count(F.lit(1)).alias("n"), F.min("tid").alias("head")).filter("n > 1")
+    asked = met.join(groups, "at").filter("tid != head").groupBy("tid", "head").agg(F.max("n").alias("n"))
+    alike = F.aggregate(F.zip_with("sig", "head_sig", lambda a, b: F.when(a == b, 1).otherwise(0)), F.lit(0), lambda a, b: a + b)
+    both = asked.join(sigs, "tid").join(sigs.select(F.col("tid").alias("head"), F.col("sig").alias("head_sig")), "head")
+    best = both.filter(alike >= AGREE).groupBy("tid").agg(F.max(F.struct("n", (-F.col("head")).alias("head"))).alias("best")).select("tid", (-F.col("best.head")).alias("cls"))
+    every = best.unionByName(best.select(F.col("cls").alias("tid"), "cls"))
+    # a first text that joined another group has that group's class
+    one = every.groupBy("tid").agg(F.coalesce(F.min(F.when(F.col("cls") != F.col("tid"), F.col("cls"))), F.first("tid")).alias("cls"))
+    return one.groupBy(F.shiftright("tid", TEXT_BITS).alias("block")).agg(F.collect_list(F.struct(F.col("tid").bitwiseAND((1 << TEXT_BITS) - 1).cast("int").alias("at"), "cls")).alias("members"))
+
+
+@dataclass
+class Pairs:
+    """The pairs of neighbouring words of a block, in order; each array has a value for every pair."""
+
+    text: np.ndarray
+    number: np.ndarray
+    #: The number of the text and pair, and of the text and window.
+    cell: np.ndarray
+    window: np.ndarray
+    #: The number of the repeated sentence that the pair begins in, or -1, and whether that sentence stood there before.
+    line: np.ndarray
+    again: np.ndarray
+
+
+def read_pairs(words: bytes, owners: bytes, sentences: bytes, limits: Limits) -> tuple[Pairs, np.ndarray]:
+    """Also the different pairs, by their number."""
+    w, text = np.frombuffer(words, np.uint32), np.frombuffer(owners, np.int32).astype(np.int64)
+    begin = np.unpackbits(np.frombuffer(sentences, np.uint8), count=len(w)).view(bool)
+    starts = np.flatnonzero(begin)
+    size = np.diff(np.append(starts, len(w)))
+    place = np.arange(len(w)) - np.repeat(starts, size)
+    key = np.add.reduceat((w.astype(np.uint64) + np.uint64(1)) * powers(0x9E3779B97F4A7C15, int(size.max()))[place], starts)
+    same = ranks(text[starts], np.unique(key, return_inverse=True)[1])
+    first = np.full(int(same.max()) + 1, len(starts))
+    np.minimum.at(first, same, np.arange(len(starts)))
+    repeated = (tally(same) > 1) & (size >= limits.sentence_words)
+    line, again = np.where(repeated, first[same], -1), repeated & (first[same] != np.arange(len(starts)))
+    inside = text[1:] == text[:-1]
+    sentence = np.repeat(np.arange(len(starts)), size)[:-1][inside]
+    text = text[:-1][inside]
+    different, number = np.unique(w[:-1][inside].astype(np.uint64) << np.uint64(32) | w[1:][inside], return_inverse=True)
+    begins = np.searchsorted(text, np.arange(text[-1] + 1))
+    window = runs_of(text, (np.arange(len(text)) - begins[text]) // limits.window)
+    pairs = Pairs(text, number, ranks(text, number), window, line[sentence], again[sentence])
+    return pairs, different
+
+
+def in_plain_window(p: Pairs, limits: Limits) -> np.ndarray:
+    """Where a pair stands in a window with few pairs that the text repeats much."""
+    n = tally(p.cell)
+    much = (n >= limits.repeats) & (n >= limits.dense * tally(p.text))
+    return tally(p.window, much) < limits.plain * tally(p.window)
+
+
+def held_plainly(p: Pairs, limits: Limits) -> np.ndarray:
+    """Whether the text holds the pair in some such window."""
+    return tally(p.cell, in_plain_window(p, limits)) > 0
+
+
+def pair_cells(blocks: DataFrame, limits: Limits) -> DataFrame:
+    """(block, pair, cls, n, plain, asks): the pairs of a block with the numbers of texts that hold them, and hold them plainly; those of near copies by class. One row of each pair asks for its counts."""
+
+    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                p, different = read_pairs(row["words"], row["owners"], row["sentences"], limits)
+                plain = held_plainly(p, limits)
+                cls = np.full(row["n_texts"], -1, np.int64)
+                for m in row["members"] or ():
+                    cls[m["at"]] = m["cls"]
+                once = np.empty(int(p.cell.max()) + 1, np.int64)
+                once[p.cell] = np.arange(len(p.cell))
+                number, plain, c = p.number[once], plain[once], cls[p.text[once]]
+                single = c < 0
+                n = np.bincount(number[single], minlength=len(different))
+                n_plain = np.bincount(number[single & plain], minlength=len(different))
+                alone = np.flatnonzero(n)
+                number, plain, c = number[~single], plain[~single], c[~single]
+                of = ranks(np.unique(c, return_inverse=True)[1], number)
+                shared = np.unique(of, return_index=True)[1]
+                loud = (np.bincount(of, weights=plain) > 0)[of][shared] if len(of) else plain
+                number, c = number[shared], c[shared]
+                asks = np.zeros(len(number), bool)
+                asks[np.unique(number, return_index=True)[1]] = True
+                asks &= n[number] == 0
+                out = [
+                    np.full(len(alone) + len(number), row["block"]),
+                    np.concatenate([different[alone], different[number]]).view(np.int64),
+                    np.concatenate([np.full(len(alone), -1), c]),
+                    np.concatenate([n[alone], np.ones(len(number), np.int64)]),
+                    np.concatenate([n_plain[alone], loud.astype(np.int64)]),
+                ]
+                arrays = [pa.array(x, pa.int64()) for x in out] + [pa.array(np.concatenate([np.ones(len(alone), bool), asks]))]
+                whole = pa.RecordBatch.from_arrays(arrays, ["block", "pair", "cls", "n", "plain", "asks"])
+                for at in range(0, whole.num_rows, 100_000):
+                    yield whole.slice(at, 100_000)
+
+    return blocks.join(near_copies(blocks), "block", "left").drop("docs", "sigs").mapInArrow(cells, "block bigint, pair bigint, cls bigint, n bigint, plain bigint, asks boolean")
+
+
+def pair_counts(cells: DataFrame) -> DataFrame:
+    """(pair, n, plain, chance, rate): texts that hold a pair, and hold it plainly; how many would by chance; the rate of its first word."""
+    by_class = cells.select("pair", "cls", "n", "plain").repartition("pair").groupBy("pair", "cls").agg(F.sum("n").alias("n"), F.sum("plain").alias("plain"))
+    one = F.col("cls") >= 0
+    held = by_class.groupBy("pair").agg(F.sum(F.when(one, 1).otherwise(F.col("n"))).alias("n"), F.sum(F.when(one, F.least("plain", F.lit(1))).otherwise(F.col("plain"))).alias("plain"))
+    held = cut_lineage(held).withColumns({"a": F.shiftrightunsigned("pair", 32), "b": F.col("pair").bitwiseAND(0xFFFFFFFF)})
+    first, second = (held.groupBy(c).agg(F.sum("n").cast("double").alias(f"n_{c}")) for c in ("a", "b"))
+    every = held.agg(F.sum("n")).scalar().cast("double")
+    return held.join(first, "a").join(second, "b").select("pair", "n", "plain", (F.col("n_a") * F.col("n_b") / every).alias("chance"), (F.col("n_a") / every).alias("rate"), (F.col("n") / every).alias("pair_rate"))
+
+
+def score_block(p: Pairs, different: np.ndarray, n_texts: int, n: np.ndarray, plain: np.ndarray, chance: np.ndarray, rate: np.ndarray, pair_rate: np.ndarray, limits: Limits) -> dict[str, np.ndarray]:
+    """The scores of each text of a block; the corpus figures are given for each pair."""
+    words = np.bincount(p.text, minlength=n_texts)
+    share = lambda x: np.bincount(p.text, weights=x, minlength=n_texts) / words
+    first = np.unique(different >> np.uint64(32), return_inverse=True)[1]
+    of_word = ranks(p.text, first[p.number])
+    n_word = tally(of_word)
+    stuffed_word = (n_word >= limits.repeats) & (n_word / words[p.text] >= limits.excess * rate)
+    n_pair = tally(p.cell)
+    stuffed_pair = (n_pair >= limits.repeats) & (n_pair / words[p.text] >= limits.excess * pair_rate)
+    elsewhere = plain - held_plainly(p, limits)
+    known = np.where(elsewhere > 0, np.clip(np.log(np.maximum(elsewhere, 1) / chance), 0, limits.cap), 0)
+    # a repeated sentence: coherent, and not made of words that are excessive with each sentence read once
+    once = tally(of_word, ~p.again)
+    loud = (once >= limits.repeats) & (once / np.bincount(p.text, weights=~p.again, minlength=n_texts)[p.text] >= limits.excess * rate)
+    line = p.line + 1
+    sound = (p.line >= 0) & (tally(line, known) >= limits.least * tally(line)) & (tally(line, loud) < limits.loud * tally(line))
+
+    def flagged(worth: np.ndarray) -> np.ndarray:
+        return share(tally(p.window, worth) < limits.least * tally(p.window))
+
+    worth = np.where(stuffed_word | stuffed_pair, 0, known)
+    left = np.where(sound, limits.cap, worth)
+    return {
+        "n_words": words,
+        "mean_pmi": share(np.log(n / chance)),
+        "association": share(left),
+        "excessive": share(stuffed_word),
+        "flagged": flagged(worth),
+        "excessive_left": share(stuffed_word & ~sound),
+        "flagged_left": flagged(left),
+    }
+
+
+def text_scores(documents: DataFrame, doc: str, text: str, limits: Limits = LIMITS) -> DataFrame:
+    """(doc, n_words, mean_pmi, association, excessive, flagged, excessive_left, flagged_left) of documents with at least two words.
+
+    n_words counts pairs of neighbouring words; mean_pmi is the mean mutual
+    information over all of them; association is the mean that windows are
+    judged by; excessive is the share of pairs whose first word is excessive,
+    flagged the share in windows that are no sentences. The two with _left leave
+    out repeated sentences that are sound. A text's own class is no evidence
+    for its pairs. Null ids, null texts and texts of fewer than two words give
+    no row; exact repeats of rows give one, other rows of one id one each; very
+    long texts are scored whole; an empty table gives none. Other columns are
+    never read.
     """
-    held = documents.filter(F.col(doc).isNotNull() & F.col(text).isNotNull()).select(F.col(doc).alias("doc"), F.col(text).alias("text"))
-    held = held.withColumn("t1", F.xxhash64("text")).withColumn("t2", F.xxhash64(F.lit(1), F.col("text")))
-    # equal texts meet before they are read; a text without near copies is a group of its own
-    texts = held.groupBy("t1", "t2").agg(F.first("text").alias("text"))
-    near = near_copies(held.select("t1", "t2", "text"))
-    rows = pair_rows(texts.join(near.hint("merge"), ["t1", "t2"], "left").select("t1", "t2", F.coalesce("near", "t1").alias("cls"), "text")).repartition("pair")
-    # read four times below: without the cut, each would scan all texts again
-    once = F.when(F.col("n_once") < REPEATS, F.col("n_once")).otherwise(0)
-    most = rows.groupBy("pair", "cls").agg(F.max("n_pair").alias("total"), F.max(once).alias("once"))
-    pairs = cut_lineage(most.groupBy("pair").agg(F.sum("total").alias("total"), F.sum("once").alias("once")))
-    pairs = pairs.withColumn("a", F.shiftright("pair", 32)).withColumn("b", F.col("pair").bitwiseAND(F.lit(0xFFFFFFFF)))
-    first = pairs.groupBy("a").agg(F.sum("total").alias("as_first"), F.sum("once").alias("once_first"))
-    second = pairs.groupBy("b").agg(F.sum("total").alias("as_second"), F.sum("once").alias("once_second"))
-    everything, every_once = (pairs.agg(F.sum(c)).scalar() for c in ("total", "once"))
-    known = pairs.join(first, "a").join(second, "b").select("pair", "total", "as_first", "as_second", "once", "once_first", "once_second")
-    # one row a pair on the build side, at most the distinct pairs of a partition
-    met = rows.join(known.hint("shuffle_hash"), "pair").withColumn("corpus", everything.cast("double")).withColumn("corpus_once", every_once.cast("double"))
-    chance = F.col("as_first").cast("double") * F.col("as_second") / F.col("corpus")
-    # twice the text's own count goes off, so that one near copy of it is no evidence
-    elsewhere = F.greatest(F.col("total") - 2 * F.col("n_pair"), F.lit(0))
-    # a repeated sentence is judged as if read once, and by texts that do not repeat its pairs: stuffed ones share their phrases
-    strange = F.greatest(F.col("once") - 2 * once, F.lit(0)) <= F.exp(F.lit(LEAST_PMI)) * F.col("once_first").cast("double") * F.col("once_second") / F.col("corpus_once")
-    incoherent = elsewhere < F.exp(F.lit(LEAST_PMI)) * chance
-    excess = lambda n, total: (n >= REPEATS) & (n / F.col("n_words") >= EXCESS * (total - n + 1) / F.col("corpus"))
-    stuffed_pair, stuffed_word = excess(F.col("n_pair"), F.col("total")), excess(F.col("n_word"), F.col("as_first"))
-    yes = lambda c: F.when(c, 1).otherwise(0)
-    window = F.floor(F.col("place") / WINDOW).alias("win")
-    marked = met.select("t1", "t2", "n_words", window, "line", F.ln(F.col("total") / chance).alias("pmi"), yes(incoherent | stuffed_pair | stuffed_word).alias("bad"), yes(stuffed_word).alias("over"), yes(strange).alias("strange"))
-    lines = marked.groupBy("t1", "t2", "n_words", "win", "line").agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in ("pmi", "bad", "over", "strange")])
-    line = Window.partitionBy("t1", "t2", "line")
-    sound = (F.col("line") >= 0) & (F.sum("strange").over(line) < STRANGE * F.sum("n").over(line))
-    lines = lines.withColumn("sound", sound).withColumns({f"{c}_left": F.when(F.col("sound"), 0).otherwise(F.col(c)) for c in ("bad", "over")})
-    windows = lines.groupBy("t1", "t2", "n_words", "win").agg(*[F.sum(c).alias(c) for c in ("n", "pmi", "bad", "over", "bad_left", "over_left")])
-    flagged = lambda c: F.sum(F.when(F.col(c) >= FLAGGED * F.col("n"), F.col("n")).otherwise(0)) / F.first("n_words")
-    scores = windows.groupBy("t1", "t2", "n_words").agg(
-        (F.sum("pmi") / F.first("n_words")).alias("mean_pmi"),
-        (F.sum("over") / F.first("n_words")).alias("excessive"),
-        flagged("bad").alias("flagged"),
-        (F.sum("over_left") / F.first("n_words")).alias("excessive_left"),
-        flagged("bad_left").alias("flagged_left"),
-    )
-    return held.select("doc", "t1", "t2").join(scores, ["t1", "t2"]).select(F.col("doc").alias(doc), "n_words", "mean_pmi", "excessive", "flagged", "excessive_left", "flagged_left")
-
-
-def is_stuffed() -> object:
-    return (F.col("flagged_left") > MOST) & (F.col("excessive_left") >= EXCESSIVE)
-
-
-def is_salad() -> object:
+    blocks = cut_lineage(read_blocks(documents, doc, text))
+    cells = cut_lineage(pair_cells(blocks, limits))
+    asked = cells.filter("asks").select("block", "pair").join(pair_counts(cells), "pair")
+    told = asked.groupBy("block").agg(F.collect_list(F.struct("pair", "n", "plain", "chance", "rate", "pair_rate")).alias("told"))
+    of_doc = blocks.schema["docs"].dataType.elementType
+    names = ["n_words", "mean_pmi", "association", "excessive", "flagged", "excessive_left", "flagged_left"]
+    schema = T.StructType([T.StructField(doc, of_doc), T.StructField("n_words", T.LongType()), *[T.StructField(c, T.DoubleType()) for c in names[1:]]])
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = {c: batch[c][i].as_py() for c in ("n_texts", "words", "owners", "sentences")}
+                p, different = read_pairs(row["words"], row["owners"], row["sentences"], limits)
+                known = batch["told"][i].values
+                told_of = known.field("pair").to_numpy().view(np.uint64)
+                order = np.argsort(told_of)
+                if not np.array_equal(told_of[order], different):
+                    raise ValueError("a block was told other pairs than it asked for")
+                figures = [known.field(c).to_numpy()[order][p.number] for c in ("n", "plain", "chance", "rate", "pair_rate")]
+                scores = score_block(p, different, row["n_texts"], *figures, limits)
+                yield pa.RecordBatch.from_arrays([batch["docs"][i].values, *[pa.array(scores[c]) for c in names]], [doc, *names])
+
+    return blocks.drop("sigs").join(told, "block").mapInArrow(score, schema).distinct()
+
+
+def is_stuffed(limits: Limits = LIMITS) -> Column:
+    return (F.col("flagged_left") > limits.most) & (F.col("excessive_left") >= limits.excessive)
+
+
+def is_salad(limits: Limits = LIMITS) -> Column:
     """Incoherent for the most part without repeating anything."""
-    return (F.col("flagged_left") > MOST) & (F.col("excessive_left") < EXCESSIVE)
+    return (F.col("flagged_left") > limits.most) & (F.col("excessive_left") < limits.excessive)
