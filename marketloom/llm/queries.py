@@ -75,16 +75,29 @@ def p7_top_items(t: Tables) -> DataFrame:
 RUN_SQL = """
     WITH n AS (SELECT doc_id AS id, 0 AS kind, text FROM documents UNION ALL SELECT eval_id, 1, text FROM eval_items),
          w AS (SELECT id, kind, string_split(trim(regexp_replace(replace(strip_accents(lower(nfc_normalize(text))), 'đ', 'd'), '[^\\p{L}\\p{Nd}]+', ' ', 'g')), ' ') AS w FROM n WHERE text IS NOT NULL),
-         g AS (SELECT id, kind, unnest(list_transform(generate_series(1, len(w) - 11), lambda x: array_to_string(w[x:x + 11], ' '))) AS g FROM w WHERE len(w) >= 12)
-    SELECT DISTINCT d.id AS doc_id, e.id AS eval_id FROM g d JOIN g e ON d.g = e.g WHERE d.kind = 0 AND e.kind = 1
+         p AS (SELECT id, kind, w, unnest(generate_series(1, len(w) - 11)) AS x FROM w WHERE len(w) >= 12),
+         g AS (SELECT id, kind, x, array_to_string(w[x:x + 11], ' ') AS g FROM p),
+         m AS (SELECT DISTINCT d.id AS doc_id, e.id AS eval_id, d.x FROM g d JOIN g e ON d.g = e.g WHERE d.kind = 0 AND e.kind = 1)
 """
 
 
-@query("p8_found", RUN_SQL)
+@query("p8_found", RUN_SQL + "SELECT DISTINCT doc_id, eval_id FROM m")
 def p8_found(t: Tables) -> DataFrame:
     return contamination.find_leaks(t.documents, "doc_id", "text", t.eval_items, "eval_id", "text")
 
 
+@query(
+    "p8_runs",
+    RUN_SQL
+    + """, i AS (SELECT *, x - lag(x, 1, -99) OVER (PARTITION BY doc_id, eval_id ORDER BY x) > 12 AS begins FROM m),
+         n AS (SELECT *, sum(begins::INT) OVER (PARTITION BY doc_id, eval_id ORDER BY x) AS run FROM i)
+         SELECT doc_id, eval_id, min(x) - 1 AS first_word, max(x) - min(x) + 12 AS n_words FROM n GROUP BY doc_id, eval_id, run""",
+)
+def p8_runs(t: Tables) -> DataFrame:
+    """Which words of the document each leaked stretch holds."""
+    return contamination.find_leaks(t.documents, "doc_id", "text", t.eval_items, "eval_id", "text", spans=True).select("doc_id", "eval_id", "first_word", "n_words")
+
+
 @query("p8_spans")
 def p8_spans(t: Tables) -> DataFrame:
     """Where in the document each leaked stretch stands."""
