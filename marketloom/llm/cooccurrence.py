@@ -6,9 +6,11 @@ each basket's list; mixed pairs by probing the heavy items in the baskets of a
 light item. At most a fixed number of items can be heavy.
 
 Baskets beyond a size are handled the other way round, so that no basket is
-ever turned into all its pairs: a pair's common large baskets are the common
-elements of two items' lists of large baskets. A pair that only large baskets
-hold is found by popcounts over blocks of the items that are in enough of them.
+ever turned into all its pairs: a pair that small baskets hold is looked up in
+the large baskets of whichever of its items is in fewer of them. A pair that
+only large baskets hold is found by popcounts over blocks of the items that are
+in enough of them, one block of baskets after another, so a task holds two
+blocks of items by one of baskets and the counts of one block pair.
 """
 
 from __future__ import annotations
@@ -16,17 +18,18 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketloom.operators.relational import row_index
 from marketloom.session import cut_lineage
 
 #: Items in more than 1/HEAVY of all (basket, item) rows are heavy: no more than HEAVY of them.
 HEAVY = 1024
 #: Baskets with more items are large.
 LARGE_BASKET = 400
+#: Items and baskets in a block: bits of two blocks take 32 MB, the counts of a pair of blocks 32 MB.
 BLOCK_ITEMS = 2048
 BLOCK_BASKETS = 1 << 16
 
@@ -41,9 +44,9 @@ def popcounts(bits: np.ndarray, other: np.ndarray | None = None) -> Iterator[tup
 
 def bit_rows(row: np.ndarray, col: np.ndarray, n_rows: int, n_cols: int) -> np.ndarray:
     """A packed matrix of n_rows by n_cols bits in whole 64-bit words."""
-    dense = np.zeros((n_rows, -(-n_cols // 64) * 64), bool)
-    dense[row, col] = True
-    return np.packbits(dense, axis=1).view(np.uint64)
+    bits = np.zeros((n_rows, -(-n_cols // 64)), np.uint64)
+    np.bitwise_or.at(bits, (row, col // 64), np.uint64(1) << (col % 64).astype(np.uint64))
+    return bits
 
 
 def heavy_pairs(rows: DataFrame) -> DataFrame:
@@ -98,50 +101,115 @@ def ordered_pair(x: Column, y: Column) -> list[Column]:
 
 
 def light_and_mixed(rows: DataFrame) -> DataFrame:
-    """(a, b, n, a_large, b_large) of pairs with at least one light item in the baskets of rows (basket, item, is_heavy, n_large)."""
-    entry = F.struct("item", "n_large")
-    lists = rows.groupBy("basket").agg(
-        F.sort_array(F.collect_list(F.when(~F.col("is_heavy"), entry))).alias("light"), F.collect_list(F.when(F.col("is_heavy"), entry)).alias("heavy")
-    )
+    """(a, b, n) of pairs with at least one light item in the baskets of rows (basket, item, is_heavy)."""
+    lists = rows.groupBy("basket").agg(F.sort_array(F.collect_list(F.when(~F.col("is_heavy"), F.col("item")))).alias("light"), F.collect_list(F.when(F.col("is_heavy"), F.col("item"))).alias("heavy"))
     light = lists.filter(F.size("light") > 1).select(F.posexplode("light").alias("at", "x"), "light").filter(F.col("at") + 1 < F.size("light"))
     light = light.select("x", F.explode(F.slice("light", F.col("at") + 2, F.size("light"))).alias("y"))
     mixed = lists.filter((F.size("light") > 0) & (F.size("heavy") > 0)).select(F.explode("light").alias("x"), "heavy").select("x", F.explode("heavy").alias("y"))
-    pairs = light.unionByName(mixed)
-    in_order = F.col("x.item") < F.col("y.item")
-    pick = lambda first, field: F.when(in_order if first else ~in_order, F.col(f"x.{field}")).otherwise(F.col(f"y.{field}"))
-    named = pairs.select(pick(True, "item").alias("a"), pick(False, "item").alias("b"), pick(True, "n_large").alias("a_large"), pick(False, "n_large").alias("b_large"))
-    return named.groupBy("a", "b", "a_large", "b_large").agg(F.count(F.lit(1)).alias("n"))
+    return light.unionByName(mixed).groupBy(*ordered_pair(F.col("x"), F.col("y"))).agg(F.count(F.lit(1)).alias("n"))
 
 
-def large_only(lists: DataFrame, n_items: int, least: int) -> DataFrame:
-    """(a, b) of items that share at least least large baskets, from lists (item, is_heavy, large: array of basket numbers).
+def large_only(rows: DataFrame, n_items: int, least: int) -> DataFrame:
+    """(a, b, n) of items that share at least least large baskets, from rows (item, is_heavy, number of the basket).
 
-    Items fall into blocks; each pair of blocks is a task that compares bit rows
-    and gives out only the pairs that reach least. Pairs of heavy items are left out.
+    Items fall into blocks; a task takes a pair of blocks, adds up the popcounts
+    of one block of baskets after another, and gives out only the pairs that
+    reach least. Pairs of heavy items are left out.
     """
     blocks = max(1, -(-n_items // BLOCK_ITEMS))
-    block = F.pmod(F.xxhash64("item"), F.lit(blocks)).cast("int")
-    cells = lists.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    cells = cells.withColumn("p", F.least("block", "other")).withColumn("q", F.greatest("block", "other"))
-
-    def compare(cell: pd.DataFrame) -> pd.DataFrame:
-        p, q = int(cell["p"].iloc[0]), int(cell["q"].iloc[0])
-        items, heavy, at = cell["item"].to_numpy(), cell["is_heavy"].to_numpy(), cell["block"].to_numpy()
-        numbers, col = np.unique(np.concatenate(cell["large"].to_list()), return_inverse=True)
-        row = np.repeat(np.arange(len(cell)), cell["large"].map(len))
-        bits = bit_rows(row, col, len(cell), len(numbers))
-        left = np.flatnonzero(at == p)
-        right = None if p == q else np.flatnonzero(at == q)
-        a, b = [], []
-        for i, c in popcounts(bits[left], None if right is None else bits[right]):
-            j = np.flatnonzero(c >= least)
-            j = left[j + i + 1] if right is None else right[j]
-            j = j[~(heavy[left[i]] & heavy[j])]
-            a.append(np.full(len(j), left[i])), b.append(j)
-        a, b = (items[np.concatenate(x)] if x else np.array([], object) for x in (a, b))
-        return pd.DataFrame({"a": np.where(a < b, a, b), "b": np.where(a < b, b, a)})
-
-    return cells.groupBy("p", "q").applyInPandas(compare, "a string, b string")
+    cells = rows.withColumn("block", F.pmod(F.xxhash64("item"), F.lit(blocks)).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    cells = cells.select(F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), F.floor(F.col("number") / BLOCK_BASKETS).alias("k"), "block", "item", "is_heavy", (F.col("number") % BLOCK_BASKETS).cast("int").alias("col"))
+    out = pa.schema([("a", pa.string()), ("b", pa.string()), ("n", pa.int64())])
+
+    class Cell:
+        """The items of two blocks as they come up, and their common baskets so far."""
+
+        def __init__(self, p: int, q: int) -> None:
+            self.same = p == q
+            self.known: list[dict[str, int]] = [{}, {}]
+            self.heavy: list[list[bool]] = [[], []]
+            self.counts = np.zeros((64, 64), np.int64)
+
+        def add(self, side: np.ndarray, item: list[str], heavy: np.ndarray, col: np.ndarray) -> None:
+            at = np.empty(len(item), np.int64)
+            for i, (s, name) in enumerate(zip(side.tolist(), item)):
+                n = len(self.known[s])
+                at[i] = self.known[s].setdefault(name, n)
+                if at[i] == n:
+                    self.heavy[s].append(bool(heavy[i]))
+            n, m = len(self.known[0]), len(self.known[0 if self.same else 1])
+            if n > self.counts.shape[0] or m > self.counts.shape[1]:
+                grown = np.zeros((max(n, 2 * self.counts.shape[0]), max(m, 2 * self.counts.shape[1])), np.int64)
+                grown[: self.counts.shape[0], : self.counts.shape[1]] = self.counts
+                self.counts = grown
+            width = int(col.max()) + 1
+            left = bit_rows(at[side == 0], col[side == 0], n, width)
+            if self.same:
+                for i, c in popcounts(left):
+                    self.counts[i, i + 1 : n] += c
+            else:
+                right = bit_rows(at[side == 1], col[side == 1], m, width)
+                for i, c in popcounts(left, right):
+                    self.counts[i, :m] += c
+
+        def pairs(self) -> pa.RecordBatch:
+            other = 0 if self.same else 1
+            i, j = np.nonzero(self.counts >= least)
+            light = [np.array(h, bool) for h in self.heavy]
+            keep = ~(light[0][i] & light[other][j])
+            i, j = i[keep], j[keep]
+            x, y = np.array(list(self.known[0]), object)[i], np.array(list(self.known[other]), object)[j]
+            low = x < y
+            return pa.RecordBatch.from_arrays([pa.array(np.where(low, x, y), pa.string()), pa.array(np.where(low, y, x), pa.string()), pa.array(self.counts[i, j])], schema=out)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, at, part, held = None, None, None, []
+
+        def take() -> None:
+            t = pa.Table.from_batches(held)
+            cell.add((t["block"].to_numpy() != at[0]).astype(np.int64), t["item"].to_pylist(), t["is_heavy"].to_numpy(), t["col"].to_numpy())
+            held.clear()
+
+        for batch in batches:
+            p, q, k = (batch[c].to_numpy() for c in ("p", "q", "k"))
+            starts = np.flatnonzero(np.concatenate(([True], (p[1:] != p[:-1]) | (q[1:] != q[:-1]) | (k[1:] != k[:-1])))) if len(p) else []
+            for a, b in zip(starts, [*starts[1:], len(p)]):
+                here = (int(p[a]), int(q[a]))
+                if held and (here, int(k[a])) != (at, part):
+                    take()
+                if here != at:
+                    if cell is not None:
+                        yield cell.pairs()
+                    cell, at = Cell(*here), here
+                part = int(k[a])
+                held.append(batch.slice(a, b - a))
+        if held:
+            take()
+        if cell is not None:
+            yield cell.pairs()
+
+    return cells.repartition("p", "q").sortWithinPartitions("p", "q", "k").mapInArrow(compare, "a string, b string, n bigint")
+
+
+def with_large_baskets(kept: DataFrame, large: DataFrame, least: int) -> DataFrame:
+    """(a, b, n) of pairs with at least one light item, where some baskets of kept are large (basket, number)."""
+    of_item = cut_lineage(kept.join(large, "basket").select("item", "is_heavy", "number"))
+    n_large = of_item.groupBy("item").agg(F.count(F.lit(1)).alias("n_large"))
+    counted = light_and_mixed(kept.join(large, "basket", "left_anti"))
+    for side in ("a", "b"):
+        counted = counted.join(n_large.select(F.col("item").alias(side), F.col("n_large").alias(f"{side}_large")), side, "left").fillna(0, [f"{side}_large"])
+    hope = F.least("a_large", "b_large")
+    counted = cut_lineage(counted.filter(F.col("n") + hope >= least).withColumn("hope", hope))
+    # the baskets of the item that is in fewer of them, looked up among those of the other
+    few = F.when(F.col("a_large") <= F.col("b_large"), F.col("a")).otherwise(F.col("b"))
+    asked = counted.filter("hope > 0").select("a", "b", few.alias("item"), F.when(few == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("many"))
+    probes = asked.join(of_item.select("item", "number"), "item").drop("item").withColumnRenamed("many", "item")
+    probed = probes.join(of_item.select("item", "number"), ["item", "number"], "left_semi").groupBy("a", "b").agg(F.count(F.lit(1)).alias("more"))
+    small = counted.join(probed, ["a", "b"], "left").select("a", "b", (F.col("n") + F.coalesce("more", F.lit(0))).alias("n"))
+    often = of_item.join(n_large.filter(F.col("n_large") >= least).select("item"), "item", "left_semi")
+    beyond = large_only(often, n_large.filter(F.col("n_large") >= least).count(), least)
+    # a pair of both kinds has all its baskets in the first
+    return small.unionByName(beyond).groupBy("a", "b").agg(F.max("n").alias("n"))
 
 
 def item_pairs(df: DataFrame, basket: str, item: str, min_count: int = 5, min_lift: float = 0.0, heavy: int = HEAVY, large_basket: int = LARGE_BASKET) -> DataFrame:
@@ -158,27 +226,13 @@ def item_pairs(df: DataFrame, basket: str, item: str, min_count: int = 5, min_li
     n_baskets = rows.agg(F.countDistinct("basket")).scalar()
     frequent = rows.groupBy("item").agg(F.count(F.lit(1)).alias("n_item")).filter(F.col("n_item") >= min_count)
     n_rows = rows.count()
-    kept = rows.join(frequent, "item").withColumn("is_heavy", F.col("n_item") * heavy > n_rows)
+    kept = cut_lineage(rows.join(frequent, "item").select("basket", "item", (F.col("n_item") * heavy > n_rows).alias("is_heavy")))
     sizes = kept.groupBy("basket").agg(F.count(F.lit(1)).alias("size"))
-    large = cut_lineage(sizes.filter(F.col("size") > large_basket).select("basket", F.monotonically_increasing_id().alias("number")))
-    n_large = large.count()
-
-    both_heavy = heavy_pairs(kept.filter("is_heavy"))
-    if not n_large:
-        other = light_and_mixed(kept.withColumn("n_large", F.lit(0))).select("a", "b", "n")
-    else:
-        of_item = kept.join(large, "basket").groupBy("item", "is_heavy").agg(F.sort_array(F.collect_list("number")).alias("large"))
-        of_item = cut_lineage(of_item)
-        small = kept.join(large, "basket", "left_anti").join(of_item.select("item", F.size("large").alias("n_large")), "item", "left").fillna(0, ["n_large"])
-        counted = light_and_mixed(small).filter(F.col("n") + F.least("a_large", "b_large") >= min_count)
-        sure, open_ = counted.filter(F.least("a_large", "b_large") == 0).select("a", "b", "n"), counted.filter(F.least("a_large", "b_large") > 0).select("a", "b", "n")
-        often = of_item.filter(F.size("large") >= min_count)
-        beyond = large_only(often, often.count(), min_count).select("a", "b", F.lit(0).cast("bigint").alias("n"))
-        candidates = open_.unionByName(beyond).groupBy("a", "b").agg(F.sum("n").alias("n"))
-        la, lb = of_item.select(F.col("item").alias("a"), F.col("large").alias("in_a")), of_item.select(F.col("item").alias("b"), F.col("large").alias("in_b"))
-        probed = candidates.join(la, "a").join(lb, "b").select("a", "b", (F.col("n") + F.size(F.array_intersect("in_a", "in_b"))).alias("n"))
-        other = sure.unionByName(probed)
-    pairs = both_heavy.unionByName(other).filter(F.col("n") >= min_count)
+    large = cut_lineage(sizes.filter(F.col("size") > large_basket).select("basket"))
+    other = light_and_mixed(kept)
+    if not large.isEmpty():
+        other = with_large_baskets(kept, row_index(large, ["basket"], "number"), min_count)
+    pairs = heavy_pairs(kept.filter("is_heavy")).unionByName(other).filter(F.col("n") >= min_count)
     fa, fb = frequent.select(F.col("item").alias("a"), F.col("n_item").alias("n_a")), frequent.select(F.col("item").alias("b"), F.col("n_item").alias("n_b"))
     scored = pairs.join(fa, "a").join(fb, "b").select(F.col("a").alias("item_a"), F.col("b").alias("item_b"), "n_a", "n_b", F.col("n").alias("n_ab"), n_baskets.alias("n_baskets"))
     return scored.filter(F.col("n_ab") * F.col("n_baskets") >= F.lit(min_lift) * F.col("n_a") * F.col("n_b"))
