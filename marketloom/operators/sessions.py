@@ -6,10 +6,13 @@ than its own, and keeps that stretch's first and last event and its parent's
 gap. The sessions for a threshold are the nodes with gap <= threshold < gap of
 the parent: one filter over the stored tree, whatever the threshold.
 
-A user's timeline is cut into chunks of time, so that a hot user is spread over
-many tasks. Inside a chunk every node with a longer gap on both sides is final.
-What remains open, the two spines of the chunk's tree, goes on to a merge by
-user, which sees a few rows a chunk instead of all events.
+Events closer than the floor of the tree are joined by partial aggregation
+before anything meets by user: what leaves it is at most one row a user and
+floor interval, 1,440 a day for a floor of a minute, however many events a user
+has. A user's timeline is cut into chunks of time, so that a hot user is spread
+over many tasks. Inside a chunk every node with a longer gap on both sides is
+final. What remains open, the two spines of the chunk's tree, goes on to a merge
+by user, which sees a few rows a chunk instead of all events.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketloom.functions.scalar import micros
@@ -55,7 +58,10 @@ def gap_tree(events: DataFrame, user: str, event: str, ts: str, floor_us: int, c
     be cut. Columns besides the three named are never read.
     """
     clean = events.select(F.col(user).alias("user_id"), F.col(event).alias("event_id"), micros(F.col(ts)).alias("us")).filter("user_id is not null and event_id is not null and us is not null")
-    chunked = clean.withColumn("chunk", F.floor(F.col("us") / chunk_us)).repartition("user_id", "chunk").sortWithinPartitions("user_id", "chunk", "us", "event_id").drop("chunk")
+    cells = clean.distinct().groupBy("user_id", F.floor(F.col("us") / chunk_us).alias("chunk"), F.floor(F.col("us") / floor_us).alias("cell"))
+    at = F.struct("us", "event_id")
+    joined = cells.agg(F.min(at).alias("first"), F.max(at).alias("last"), F.count(F.lit(1)).alias("n")).select("user_id", "chunk", F.col("first.event_id").alias("first_id"), F.col("last.event_id").alias("last_id"), F.col("first.us").alias("us"), F.col("last.us").alias("end"), "n")
+    chunked = joined.repartition("user_id", "chunk").sortWithinPartitions("user_id", "chunk", "us").drop("chunk")
     schema = pa.schema([("user_id", pa.string()), ("first_event_id", pa.string()), ("last_event_id", pa.string()), ("start_us", pa.int64()), ("end_us", pa.int64()), ("n_events", pa.int64()), ("gap_us", pa.int64()), ("parent_gap_us", pa.int64())])
 
     def trees(pieces: Iterator[tuple], chunked: bool) -> Iterator[pa.RecordBatch]:
@@ -141,18 +147,13 @@ def gap_tree(events: DataFrame, user: str, event: str, ts: str, floor_us: int, c
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def pieces() -> Iterator[tuple]:
             for t in whole_groups(batches, lambda t: number_of(t, "us", True)):
-                ids = t["event_id"].combine_chunks()
-                us, number = t["us"].to_numpy(), number_of(t, "us", True)
-                code = ids.dictionary_encode().indices.to_numpy()
-                fresh = np.ones(len(us), bool)
-                fresh[1:] = (code[1:] != code[:-1]) | (number[1:] != number[:-1]) | (us[1:] != us[:-1])
-                row = np.flatnonzero(fresh)
-                us, number = us[row], number[row]
-                cut = np.ones(len(us), bool)
-                cut[1:] = (number[1:] != number[:-1]) | (us[1:] - us[:-1] > floor_us)
+                start, end, n, number = t["us"].to_numpy(), t["end"].to_numpy(), t["n"].to_numpy(), number_of(t, "us", True)
+                first, last = t["first_id"].combine_chunks(), t["last_id"].combine_chunks()
+                cut = np.ones(len(start), bool)
+                cut[1:] = (number[1:] != number[:-1]) | (start[1:] - end[:-1] > floor_us)
                 a = np.flatnonzero(cut)
-                b = np.append(a[1:], len(us)) - 1
-                yield t["user_id"].combine_chunks().take(pa.array(row[a])), number[a], ids.take(pa.array(row[a])), ids.take(pa.array(row[b])), us[a], us[b], b - a + 1, None
+                b = np.append(a[1:], len(start)) - 1
+                yield t["user_id"].combine_chunks().take(pa.array(a)), number[a], first.take(pa.array(a)), last.take(pa.array(b)), start[a], end[b], np.add.reduceat(n, a), None
 
         return trees(pieces(), True)
 
@@ -197,17 +198,22 @@ def cut(tree: DataFrame, gap_us: int) -> DataFrame:
     return tree.filter((F.col("gap_us") <= gap_us) & (F.col("parent_gap_us") > gap_us)).drop("gap_us", "parent_gap_us")
 
 
-def count_items(sessions: DataFrame, events: DataFrame, user: str, item: str, ts: str, chunk_us: int = DAY) -> DataFrame:
+def count_items(sessions: DataFrame, events: DataFrame, user: str, item: str, ts: str, floor_us: int, chunk_us: int = DAY) -> DataFrame:
     """The sessions with n_items, the number of distinct non-null items of their events.
 
-    Sessions are laid out over the chunks that they touch, so that an event
-    meets only the few sessions of its user and chunk. A session that crosses
-    chunks takes part once in each.
+    Events of one user and floor interval share a session, so items are made
+    distinct by interval first. Sessions are laid out over the chunks that they
+    touch, and what is left of the events takes the last session begun before it
+    in its chunk: one sorted pass, no pair of an event and another session.
     """
     chunk = F.explode(F.sequence(F.floor(F.col("start_us") / chunk_us), F.floor(F.col("end_us") / chunk_us)))
-    laid = sessions.select("user_id", "start_us", "end_us", chunk.alias("chunk"))
-    seen = events.select(F.col(user).alias("user_id"), F.col(item).alias("item_id"), micros(F.col(ts)).alias("us")).filter("user_id is not null and us is not null and item_id is not null")
-    seen = seen.withColumn("chunk", F.floor(F.col("us") / chunk_us))
-    pairs = seen.join(laid, ["user_id", "chunk"]).filter("us between start_us and end_us").select("user_id", "start_us", "item_id").distinct()
-    counts = pairs.groupBy("user_id", "start_us").agg(F.count(F.lit(1)).alias("n_items"))
+    laid = sessions.select("user_id", F.struct("start_us", "end_us").alias("begun"), chunk.alias("chunk"))
+    laid = laid.select("user_id", "chunk", F.greatest("begun.start_us", F.col("chunk") * chunk_us).alias("us"), F.lit(None).cast("string").alias("item_id"), "begun")
+    us = micros(F.col(ts))
+    seen = events.select(F.col(user).alias("user_id"), us.alias("us"), F.col(item).cast("string").alias("item_id")).filter("user_id is not null and us is not null and item_id is not null")
+    seen = seen.groupBy("user_id", F.floor(F.col("us") / chunk_us).alias("chunk"), F.floor(F.col("us") / floor_us).alias("cell"), "item_id").agg(F.min("us").alias("us")).drop("cell")
+    both = laid.unionByName(seen.withColumn("begun", F.lit(None).cast("struct<start_us: bigint, end_us: bigint>")))
+    line = Window.partitionBy("user_id", "chunk").orderBy("us", F.col("begun").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = both.withColumn("begun", F.last("begun", ignorenulls=True).over(line)).filter("item_id is not null and us <= begun.end_us")
+    counts = placed.select("user_id", "begun.start_us", "item_id").distinct().groupBy("user_id", "start_us").agg(F.count(F.lit(1)).alias("n_items"))
     return sessions.join(counts, ["user_id", "start_us"], "left").withColumn("n_items", F.coalesce("n_items", F.lit(0)))

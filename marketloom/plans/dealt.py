@@ -232,7 +232,7 @@ def p5_found(t: Tables) -> DataFrame:
 @query("p5_sessions", SESSION_SQL.format(gap=30 * MINUTE) + "SELECT user_id, first_event_id, last_event_id, start_us, end_us, end_us - start_us AS duration_us, n_events, n_items FROM r")
 def p5_sessions(t: Tables) -> DataFrame:
     """Start, end, duration and numbers of events and items of each session."""
-    found = sessions.count_items(sessions.cut(session_tree(t), 30 * MINUTE), t.events, "user_id", "item_id", "event_ts")
+    found = sessions.count_items(sessions.cut(session_tree(t), 30 * MINUTE), t.events, "user_id", "item_id", "event_ts", TREE_FLOOR)
     return found.withColumn("duration_us", F.col("end_us") - F.col("start_us"))
 
 

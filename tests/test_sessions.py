@@ -2,6 +2,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from marketloom.operators import sessions
 
@@ -60,7 +61,7 @@ def test_item_counts(spark):
     rows = random_rows(7)
     df = table(spark, rows)
     found = sessions.cut(sessions.gap_tree(df, "user", "event", "ts", SECOND, 100 * SECOND), 60 * SECOND)
-    got = {(r["user_id"], r["first_event_id"], r["last_event_id"], r["n_events"], r["n_items"]) for r in sessions.count_items(found, df, "user", "item", "ts", 100 * SECOND).collect()}
+    got = {(r["user_id"], r["first_event_id"], r["last_event_id"], r["n_events"], r["n_items"]) for r in sessions.count_items(found, df, "user", "item", "ts", SECOND, 100 * SECOND).collect()}
     assert got == brute(rows, 60 * SECOND)
 
 
@@ -85,6 +86,16 @@ def test_long_falling_and_rising_gaps(spark):
         assert {(r["user_id"], r["first_event_id"], r["last_event_id"], r["n_events"]) for r in sessions.cut(tree, gap * SECOND).collect()} == {x[:4] for x in brute(rows, gap * SECOND)}
 
 
+def test_all_events_of_a_day_by_one_user(spark):
+    """What a task holds follows the floor intervals of the day, not its events."""
+    n, step = 400_000, 86_400_000_000 // 400_000
+    start = int(BASE.timestamp()) * SECOND
+    us = F.lit(start) + F.col("id") * step + F.when(F.col("id") >= n // 2, 3_600 * SECOND).otherwise(0)
+    df = spark.range(n, numPartitions=8).select(F.lit("hot").alias("user"), F.format_string("e%07d", "id").alias("event"), F.timestamp_micros(us).cast("timestamp_ntz").alias("ts"), F.lit("x").alias("item"))
+    tree = sessions.gap_tree(df, "user", "event", "ts", 60 * SECOND)
+    assert {(r["first_event_id"], r["last_event_id"], r["n_events"]) for r in sessions.cut(tree, 1800 * SECOND).collect()} == {("e0000000", f"e{n // 2 - 1:07d}", n // 2), (f"e{n // 2:07d}", f"e{n - 1:07d}", n // 2)}
+
+
 def test_empty(spark):
     assert sessions.gap_tree(table(spark, []), "user", "event", "ts", SECOND).collect() == []
     assert sessions.gap_tree(table(spark, [(None, "e", BASE, None), ("a", "e", None, None)]), "user", "event", "ts", SECOND).collect() == []
