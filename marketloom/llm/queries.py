@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from marketloom.functions.scalar import clean_label, clean_name
 from marketloom.llm import contamination, cooccurrence, mixing, spam, tokens, topn
 from marketloom.plans.registry import Registry
+from marketloom.session import cut_lineage
 from marketloom.sources.tables import Tables
 
 REGISTRY = Registry()
@@ -90,8 +91,8 @@ def p8_found(t: Tables) -> DataFrame:
     "p8_runs",
     RUN_SQL
     + """, i AS (SELECT *, x - lag(x, 1, -99) OVER (PARTITION BY doc_id, eval_id ORDER BY x) > 12 AS begins FROM m),
-         n AS (SELECT *, sum(begins::INT) OVER (PARTITION BY doc_id, eval_id ORDER BY x) AS run FROM i)
-         SELECT doc_id, eval_id, min(x) - 1 AS first_word, max(x) - min(x) + 12 AS n_words FROM n GROUP BY doc_id, eval_id, run""",
+         s AS (SELECT *, sum(begins::INT) OVER (PARTITION BY doc_id, eval_id ORDER BY x) AS run FROM i)
+         SELECT doc_id, eval_id, min(x) - 1 AS first_word, max(x) - min(x) + 12 AS n_words FROM s GROUP BY doc_id, eval_id, run""",
 )
 def p8_runs(t: Tables) -> DataFrame:
     """Which words of the document each leaked stretch holds."""
@@ -108,9 +109,21 @@ def p8_spans(t: Tables) -> DataFrame:
 SCHEDULE = {"listing_desc": (1.5, 1.0, 0.5), "qa_thread": (1.2, 1.0, 0.8), "legal_faq": (0.5, 1.0, 1.5), "glossary": (0.5, 1.0, 1.5), "area_guide": (0.8, 1.0, 1.2)}
 
 
+#: Beyond what small sources can give within their repeats.
+LARGE_TOTAL = 2.0
+
+
+def labelled(t: Tables) -> DataFrame:
+    return t.documents.select("doc_id", "text", clean_label(F.col("source")).alias("source"))
+
+
+def counted(t: Tables) -> DataFrame:
+    """Stored once, so that no text is tokenised twice."""
+    return cut_lineage(tokens.count_tokens(labelled(t), "text", ["doc_id", "source"]))
+
+
 def mixture(t: Tables) -> DataFrame:
-    docs = t.documents.select("doc_id", "text", clean_label(F.col("source")).alias("source"))
-    return mixing.mix(tokens.count_tokens(docs, "text", ["doc_id", "source"]), "doc_id", "source", "n_tokens", t.source_weights, SCHEDULE)
+    return mixing.mix(counted(t), "doc_id", "source", "n_tokens", t.source_weights, SCHEDULE)
 
 
 @query("p9_mixture")
@@ -122,7 +135,73 @@ def p9_mixture(t: Tables) -> DataFrame:
 @query("p9_shares")
 def p9_shares(t: Tables) -> DataFrame:
     """The shares of all tokens that the mixture reaches."""
-    return mixing.shares(mixture(t), "source", "n_tokens", t.source_weights)
+    records = counted(t)
+    mixed = mixing.mix(records, "doc_id", "source", "n_tokens", t.source_weights, SCHEDULE)
+    return mixing.report(mixed, records, "source", "n_tokens", t.source_weights)
+
+
+@query("p9_training_order")
+def p9_training_order(t: Tables) -> DataFrame:
+    """The texts themselves, as often and in the order as they stand in training."""
+    return mixing.records_in_order(mixture(t), labelled(t), "doc_id")
+
+
+def by_length(t: Tables) -> tuple[DataFrame, int]:
+    """Characters as sizes, which SQL can count, and a total of twice all of them."""
+    records = labelled(t).select("doc_id", "source", F.length("text").cast("bigint").alias("size"))
+    total = records.filter("source is not null").agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    return records, int(LARGE_TOTAL * total)
+
+
+def segment_sql() -> str:
+    """Rows (source, start, weight, slope, before, after) of the integrated schedule."""
+    rows = [(s, *x) for s in SCHEDULE for x in mixing.integrated(SCHEDULE, s, mixing.KNOTS)]
+    return ", ".join(f"('{s}', " + ", ".join(f"{v!r}::DOUBLE" for v in x) + ")" for s, *x in rows)
+
+
+MIX_SQL = f"""
+    WITH RECURSIVE r AS (SELECT doc_id, regexp_replace(lower(trim(source)), '[ \\-]+', '_', 'g') AS source, length(text) AS size FROM documents WHERE source IS NOT NULL AND length(text) > 0),
+         s AS (SELECT source, sum(size)::DOUBLE AS supply FROM r GROUP BY 1),
+         k AS (SELECT s.source, supply, max_repeats, target_share / sum(target_share) OVER () AS share, supply * max_repeats AS cap FROM s JOIN source_weights w ON w.source = s.source WHERE target_share > 0 AND max_repeats > 0),
+         z AS (SELECT floor({LARGE_TOTAL} * sum(size)) AS total FROM r),
+         -- levels are tried by halving: the volume at a level is what all sources give
+         h AS (SELECT 0 AS turn, 0::DOUBLE AS low, (SELECT max(cap / share) FROM k) AS high
+               UNION ALL SELECT turn + 1, CASE WHEN v < total THEN m ELSE low END, CASE WHEN v < total THEN high ELSE m END
+               FROM (SELECT turn, low, high, (low + high) / 2 AS m, (SELECT sum(least(cap, share * (low + high) / 2)) FROM k) AS v, (SELECT total FROM z) AS total FROM h WHERE turn < 200)),
+         l AS (SELECT high AS level FROM h WHERE turn = 200),
+         p AS (SELECT source, supply, share, share * (SELECT total FROM z) AS wanted, least(cap, share * (SELECT level FROM l)) AS demand, max_repeats FROM k),
+         a AS (SELECT r.*, p.supply, p.demand, unnest(generate_series(0, least(max_repeats, ceil(demand / supply)::BIGINT) - 1)) AS repeat FROM r JOIN p USING (source)),
+         m AS (SELECT *, repeat * supply + sum(size) OVER (PARTITION BY source, repeat ORDER BY ('0x' || substr(md5(doc_id || '/' || repeat || '/0'), 1, {mixing.KEY_DIGITS}))::BIGINT, doc_id, size ROWS UNBOUNDED PRECEDING) - size / 2.0::DOUBLE AS middle FROM a),
+         c AS (SELECT * FROM m WHERE middle <= demand)
+"""
+
+
+@query(
+    "p9_positions_by_length",
+    MIX_SQL
+    + f""", g(source, start, weight, slope, before, after) AS (VALUES {segment_sql()}),
+         n AS (SELECT c.*, middle / demand AS done, g.*, row_number() OVER (PARTITION BY doc_id, repeat ORDER BY after) AS first FROM c LEFT JOIN g ON g.source = c.source AND middle / demand <= after)
+         SELECT doc_id, source, repeat, size, round(CASE WHEN start IS NULL THEN done ELSE start + CASE WHEN weight + sqrt(greatest(weight * weight + 2 * slope * (done - before), 0)) = 0 THEN 0 ELSE 2 * (done - before) / (weight + sqrt(greatest(weight * weight + 2 * slope * (done - before), 0))) END END, 5) AS position FROM n WHERE first = 1""",
+)
+def p9_positions_by_length(t: Tables) -> DataFrame:
+    """A mixture of twice all characters: sources that run out leave their part to the others."""
+    records, total = by_length(t)
+    return mixing.mix(records, "doc_id", "source", "size", t.source_weights, SCHEDULE, total=total, fill=True).withColumn("position", F.round("position", 5))
+
+
+@query(
+    "p9_shares_by_length",
+    MIX_SQL
+    + """, o AS (SELECT source, sum(size)::BIGINT AS size, count(*) AS n_records, max(repeat) + 1 AS most_repeats FROM c GROUP BY 1)
+         SELECT w.source, w.target_share, coalesce(o.size, 0) AS size, round(coalesce(o.size / sum(o.size::DOUBLE) OVER (), 0), 6) AS share, coalesce(n_records, 0) AS n_records, coalesce(most_repeats, 0) AS most_repeats,
+                coalesce(supply, 0)::BIGINT AS supply, coalesce(round(wanted), 0)::BIGINT AS wanted, coalesce(round(greatest(wanted - demand, 0)), 0)::BIGINT AS missing
+         FROM source_weights w LEFT JOIN o USING (source) LEFT JOIN p USING (source)""",
+)
+def p9_shares_by_length(t: Tables) -> DataFrame:
+    """What each source gives to that mixture, and how much it lacks."""
+    records, total = by_length(t)
+    mixed = mixing.mix(records, "doc_id", "source", "size", t.source_weights, SCHEDULE, total=total, fill=True)
+    return mixing.report(mixed, records, "source", "size", t.source_weights, total, fill=True).withColumn("share", F.round("share", 6))
 
 
 @query("p10_found")

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import base64
+import os
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,15 +20,17 @@ PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|
 def count_tokens(docs: DataFrame, text: str, keep: list[str], vocabulary: str = VOCABULARY) -> DataFrame:
     """keep columns and n_tokens of each row; null and empty texts have 0 tokens.
 
-    The vocabulary file must be readable under the same path on every executor.
+    The vocabulary is read on the driver's machine and shipped to every executor.
     """
+    docs.sparkSession.sparkContext.addFile(vocabulary)
+    name = os.path.basename(vocabulary)
     rows = docs.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("_text"))
     schema = rows.drop("_text").schema.add("n_tokens", T.LongType())
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import tiktoken
 
-        with open(vocabulary, "rb") as f:
+        with open(SparkFiles.get(name), "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         encoding = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         for batch in batches:

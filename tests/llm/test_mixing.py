@@ -56,9 +56,25 @@ def test_larger_total_is_capped_and_reported(spark):
     assert report["big"]["most_repeats"] == 1 and report["small"]["most_repeats"] == 3
 
 
+def test_sources_that_run_out_leave_their_part_to_the_others(spark):
+    rows, records, targets = tables(spark, 4)
+    supply = {s: sum(r[2] or 0 for r in rows if r[1] == s) for s in ("big", "mid", "small")}
+    targets = spark.createDataFrame([("big", 0.2, 3), ("mid", 0.4, 2), ("small", 0.4, 3), ("absent", 0.0, 1), (None, 0.1, 1)], TARGETS)
+    total = supply["big"] * 2 + supply["mid"] * 2 + supply["small"] * 3  # only the big source has something left
+    mix = mixing.mix(records, "id", "source", "size", targets, total=total, fill=True)
+    report = {r["source"]: r for r in mixing.report(mix, records, "source", "size", targets, total, fill=True).collect()}
+    assert abs(sum(r["size"] for r in report.values()) - total) < 200
+    assert report["small"]["size"] == supply["small"] * 3 and report["mid"]["size"] == supply["mid"] * 2
+    assert abs(report["small"]["missing"] - (0.4 * total - supply["small"] * 3)) <= 1 and abs(report["mid"]["missing"] - (0.4 * total - supply["mid"] * 2)) <= 1
+    assert report["big"]["missing"] == 0 and report["absent"]["supply"] == report["absent"]["wanted"] == 0
+    everything = mixing.mix(records, "id", "source", "size", targets, total=10**9, fill=True)
+    got = {r["source"]: r["size"] for r in mixing.shares(everything, "source", "size", targets).collect()}
+    assert (got["big"], got["mid"], got["small"]) == (supply["big"] * 3, supply["mid"] * 2, supply["small"] * 3)
+
+
 def test_buckets_do_not_matter_to_what_is_chosen(spark):
     _, records, targets = tables(spark, 3)
-    a, b = (mixing.mix(records, "id", "source", "size", targets, bucket_bits=n).select("position", "id", "repeat").collect() for n in (1, 12))
+    a, b = (mixing.mix(records, "id", "source", "size", targets, bucket_records=n).select("position", "id", "repeat").collect() for n in (1_000_000, 7))
     assert a == b
 
 
