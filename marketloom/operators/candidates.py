@@ -9,7 +9,6 @@ from collections.abc import Sequence
 from datetime import date, timedelta
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,33 +52,44 @@ def burst_trend(pci: DataFrame, listings: DataFrame, cutoff: date, recent_days:
 def fair_top(scored: DataFrame, by: Sequence[str], k: int, share: float = AGENT_SHARE) -> DataFrame:
     """(by..., item_id, rank): the k best of a group with agents kept near their share.
 
-    Only the k best of each seller kind can be chosen, so a group reaches its
-    Python function with 3k rows at most. Agents go first while they are below
-    the share, then private sellers, then further agents, then unknown sellers.
+    Agents go first while they are below the share of what stands before, then
+    private sellers, then further agents, then unknown sellers. With agents
+    below the share s, the agent after j others comes behind j / s places, the
+    private seller after j others behind j / (1 - s), so all ranks follow from a
+    row's place among its kind and the sizes of the kinds. Only the k best of
+    each kind can be chosen.
     """
     kind = F.when(F.col("seller_type") == "agent", 0).when(F.col("seller_type").isNotNull(), 1).otherwise(2)
     keys = [F.col(c) for c in by] or [F.lit("all").alias("level")]
     names = list(by) or ["level"]
     rows = scored.select(*keys, "item_id", "trend_score", kind.alias("kind"))
     limited = best(rows, [*names, "kind"], [F.col("trend_score").desc(), F.col("item_id")], k, "place")
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in limited.select(*names).schema) + ", item_id string, rank bigint"
-
-    def choose(group: pd.DataFrame) -> pd.DataFrame:
-        queues = [group[group["kind"] == i].sort_values("place")["item_id"].to_list() for i in range(3)]
-        taken, agents, picked = [0, 0, 0], 0, []
-        while len(picked) < k:
-            left = [taken[i] < len(queues[i]) for i in range(3)]
-            below = agents / max(1, len(picked)) < share
-            turn = 0 if below and left[0] else 1 if left[1] else 0 if left[0] else 2 if left[2] else None
-            if turn is None:
-                break
-            picked.append(queues[turn][taken[turn]])
-            taken[turn] += 1
-            agents += turn == 0
-        head = {c: [group[c].iloc[0]] * len(picked) for c in names}
-        return pd.DataFrame({**head, "item_id": picked, "rank": range(1, len(picked) + 1)})
-
-    return limited.groupBy(*names).applyInPandas(choose, schema)
+    group = Window.partitionBy(*names)
+    agents, private = (F.sum(F.when(F.col("kind") == i, 1).otherwise(0)).over(group) for i in (0, 1))
+    # places while both kinds last, counted from the ones before; each kind follows on where the other is used up
+    before = F.col("place") - 1
+    agent_at = F.when(before == 0, 1).otherwise(F.floor(F.round(before / share, 9)) + 2)
+    private_at = F.when(before == 0, 2).otherwise(F.ceil(F.round(before / (1 - share), 9)) + 1)
+    rank = F.when(F.col("kind") == 0, F.least(agent_at, F.col("place") + private)).when(F.col("kind") == 1, F.least(private_at, F.col("place") + agents)).otherwise(F.col("place") + agents + private)
+    return limited.withColumn("rank", rank.cast("bigint")).filter(F.col("rank") <= k).select(*names, "item_id", "rank")
+
+
+def trend_lookup(trend: DataFrame, wanted: DataFrame, levels: dict[str, list[str]], k: int) -> DataFrame:
+    """(pref_city, pref_cat, item_id, rank): the k best of the levels in turn for distinct preferences, each item once.
+
+    Only the k best of a group can be shown, so each level is cut first and a
+    preference meets k rows a level. A null preference skips its levels.
+    """
+    pref = {"city_name": "pref_city", "category": "pref_cat"}
+    found = []
+    for i, by in enumerate(levels.values()):
+        keys = [F.col(x) for x in by] or [F.lit(0)]
+        short = trend.select(*[F.col(x).alias(f"_{x}") for x in by], "item_id", "trend_score", F.row_number().over(Window.partitionBy(*keys).orderBy(F.col("trend_score").desc(), F.col("item_id"))).alias("n")).filter(F.col("n") <= k)
+        same = reduce(Column.__and__, [F.col(f"_{x}") == F.col(pref[x]) for x in by], F.lit(True))
+        # without keys the right side has k rows
+        found.append(wanted.join(short if by else F.broadcast(short), same).select("pref_city", "pref_cat", "item_id", F.lit(i).alias("level"), "trend_score"))
+    once = reduce(DataFrame.unionByName, found).groupBy("pref_city", "pref_cat", "item_id").agg(F.min("level").alias("level"), F.first("trend_score").alias("trend_score"))
+    return best(once, ["pref_city", "pref_cat"], [F.col("level"), F.col("trend_score").desc(), F.col("item_id")], k).select("pref_city", "pref_cat", "item_id", "rank")
 
 
 def segment_popularity(weighted: DataFrame, caps: dict[str, int], valid: DataFrame | None = None) -> DataFrame:

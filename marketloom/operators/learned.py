@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import math
-from collections import Counter
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
@@ -255,35 +256,79 @@ def ranked_by_model(model, rows: DataFrame, features: Sequence[str], k: int) ->
     return best(scored, ["user_id"], [F.col("score").desc(), F.col("item_id")], k).select(*KEY, "score", "rank")
 
 
-def list_diversity(items: list[dict]) -> float:
-    """Mean dissimilarity of pairs and the entropy of categories; a district only counts within its city."""
-    n = len(items)
-    if n <= 1:
-        return 1.0
-    total = 0.0
-    for i in range(n):
-        for j in range(i + 1, n):
-            a, b = items[i], items[j]
-            same = 0.4 * (a["category"] == b["category"])
-            if a["city_name"] == b["city_name"]:
-                same += 0.3 + 0.3 * (a["district_name"] == b["district_name"])
-            total += 1.0 - same
-    shares = [c / n for c in Counter(x["category"] for x in items).values()]
-    entropy = -sum(s * math.log2(s) for s in shares)
-    return 0.6 * total / (n * (n - 1) / 2) + 0.4 * (entropy / math.log2(len(shares)) if len(shares) > 1 else entropy)
+#: Measures of a list: weights of same category, city and district; of pairs and entropy; of agents and categories; decay of age a day.
+SAME, SPREAD, BALANCE, AGEING, SMOOTH = (0.4, 0.3, 0.3), (0.6, 0.4), (0.6, 0.4), 0.05, 1e-10
 
 
-def list_fairness(items: list[dict]) -> float:
-    """Closeness of the agents' share and of the categories to what is expected."""
-    n = len(items)
-    agents = sum(x["seller_type"] == "agent" for x in items) / n
-    counts = Counter(x["category"] for x in items)
-    divergence = sum(counts[c] / n * math.log((counts[c] / n + 1e-10) / (e + 1e-10)) for c, e in CATEGORY_SHARES.items())
-    return 0.6 * (1.0 - abs(agents - AGENT_SHARE)) + 0.4 * math.exp(-divergence)
+@dataclass
+class Pools:
+    """Candidates of many users as matrices of users by places; empty places at the end."""
 
+    held: np.ndarray
+    accuracy: np.ndarray
+    novelty: np.ndarray
+    #: For every two places whether they agree, for category, city and district within a city.
+    alike: list[np.ndarray]
+    agent: np.ndarray
+    #: The place of the category among those with an expected share, or -1.
+    expected: np.ndarray
+    fresh: np.ndarray
 
-def list_freshness(items: list[dict]) -> float:
-    return sum(math.exp(-0.05 * x["listing_age_days"]) for x in items) / len(items)
+
+def scaled(x: np.ndarray, held: np.ndarray) -> np.ndarray:
+    low, high = (f(np.where(held, x, w), axis=1, keepdims=True) for f, w in ((np.min, np.inf), (np.max, -np.inf)))
+    return np.where(held, (x - low) / np.where(high > low, high - low, 1.0), 0.0)
+
+
+def best_lists(p: Pools, k: int, weights: Sequence[float]) -> tuple[np.ndarray, np.ndarray]:
+    """(places, values), users by k, of lists that grow by the item with the best value of the longer list; place -1 where a user has no more.
+
+    What an item adds follows from running sums: how many of the list agree
+    with each candidate, how often each category occurs, agents, and freshness.
+    """
+    users, n_places = p.held.shape
+    row = np.arange(users)
+    share = np.array(list(CATEGORY_SHARES.values()))
+    agreeing = [np.zeros((users, n_places)) for _ in p.alike]
+    pairs_alike, weighted, kinds, agents, fresh = (np.zeros(users) for _ in range(5))
+    counts = np.zeros((users, len(share)))
+    free = p.held.copy()
+    places, values = np.full((users, k), -1), np.zeros((users, k))
+    count_log = lambda c: c * np.log2(np.maximum(c, 1))
+    term = lambda part, x: part * np.log((part + SMOOTH) / (x + SMOOTH))
+    for step in range(min(k, n_places)):
+        n = step + 1
+        more_alike = sum(w * a for w, a in zip(SAME, agreeing))
+        more_weighted = count_log(agreeing[0] + 1) - count_log(agreeing[0])
+        more_kinds = agreeing[0] == 0
+        if n > 1:
+            apart = 1.0 - (pairs_alike[:, None] + more_alike) / (n * (n - 1) / 2)
+            entropy = np.log2(n) - (weighted[:, None] + more_weighted) / n
+            of_kinds = kinds[:, None] + more_kinds
+            diversity = SPREAD[0] * apart + SPREAD[1] * np.where(of_kinds > 1, entropy / np.log2(np.maximum(of_kinds, 2)), entropy)
+        else:
+            diversity = np.ones((users, n_places))
+        now = term(counts / n, share)
+        at = np.maximum(p.expected, 0)
+        own = np.take_along_axis(counts, at, 1)
+        moved = term((own + 1) / n, share[at]) - np.take_along_axis(now, at, 1)
+        divergence = now.sum(axis=1, keepdims=True) + np.where(p.expected >= 0, moved, 0.0)
+        fairness = BALANCE[0] * (1.0 - np.abs((agents[:, None] + p.agent) / n - AGENT_SHARE)) + BALANCE[1] * np.exp(-divergence)
+        value = sum(w * x for w, x in zip(weights, (p.accuracy, diversity, fairness, (fresh[:, None] + p.fresh) / n, p.novelty)))
+        pick = np.argmax(np.where(free, value, -np.inf), axis=1)
+        going = free.any(axis=1)
+        places[going, step], values[going, step] = pick[going], value[row, pick][going]
+        pairs_alike += more_alike[row, pick]
+        weighted += more_weighted[row, pick]
+        kinds += more_kinds[row, pick]
+        agents += p.agent[row, pick]
+        fresh += p.fresh[row, pick]
+        e = p.expected[row, pick]
+        counts[row[e >= 0], e[e >= 0]] += 1
+        for a, same in zip(agreeing, p.alike):
+            a += same[row, pick]
+        free[row, pick] = False
+    return places, values
 
 
 def rerank(candidates: DataFrame, k: int = 10, weights: tuple[float, float, float, float, float] = (0.55, 0.15, 0.15, 0.05, 0.10), pool: int = 30) -> DataFrame:
@@ -292,30 +337,39 @@ def rerank(candidates: DataFrame, k: int = 10, weights: tuple[float, float, floa
     candidates: user_id, item_id, score, category, city_name, district_name,
     seller_type, listing_age_days, item_total_contacts. The weights are for
     accuracy, diversity, fairness, freshness and novelty. Only the pool best
-    rows of a user reach Python; the first of equals wins.
+    rows of a user reach Python, many users at a time; the first of equals wins.
+    A null label is a label of its own.
     """
-    cols = ["category", "city_name", "district_name", "seller_type", "listing_age_days", "item_total_contacts"]
-    rows = candidates.select(*KEY, F.col("score").cast("double").alias("score"), *cols).fillna(30, ["listing_age_days"]).fillna(0, ["item_total_contacts"])
+    labels = ["category", "city_name", "district_name"]
+    rows = candidates.select(*KEY, F.col("score").cast("double").alias("score"), *labels, "seller_type", "listing_age_days", "item_total_contacts").fillna(30, ["listing_age_days"]).fillna(0, ["item_total_contacts"])
     limited = best(rows, ["user_id"], [F.col("score").desc(), F.col("item_id")], pool, "r")
-
-    def choose(group: pd.DataFrame) -> pd.DataFrame:
-        left = group.sort_values("r").to_dict("records")
-        low, high = min(x["score"] for x in left), max(x["score"] for x in left)
-        novel = [-math.log1p(x["item_total_contacts"]) for x in left]
-        nl, nh = min(novel), max(novel)
-        for x, v in zip(left, novel):
-            x["acc"] = (x["score"] - low) / (high - low if high > low else 1.0)
-            x["nov"] = (v - nl) / (nh - nl if nh > nl else 1.0)
-        chosen, totals = [], []
-        a, b, c, d, e = weights
-        while left and len(chosen) < k:
-            value = lambda x: a * x["acc"] + b * list_diversity([*chosen, x]) + c * list_fairness([*chosen, x]) + d * list_freshness([*chosen, x]) + e * x["nov"]
-            values = [value(x) for x in left]
-            at = int(np.argmax(values))
-            if values[at] <= -1.0:
-                break
-            totals.append(values[at])
-            chosen.append(left.pop(at))
-        return pd.DataFrame({"user_id": [x["user_id"] for x in chosen], "item_id": [x["item_id"] for x in chosen], "pos": range(1, len(chosen) + 1), "score": totals})
-
-    return limited.groupBy("user_id").applyInPandas(choose, "user_id string, item_id string, pos int, score double")
+    codes = [F.xxhash64(*labels[:1]).alias("c0"), F.xxhash64(labels[1]).alias("c1"), F.xxhash64(*labels[1:]).alias("c2")]
+    known = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for i, c in enumerate(CATEGORY_SHARES) for x in (c, i)]), F.col("category").cast("int")), F.lit(-1))
+    numbers = [F.col("score"), *codes, (F.col("seller_type") == "agent").cast("double").alias("agent"), known.cast("int").alias("expected"), F.col("listing_age_days").cast("double").alias("age"), F.col("item_total_contacts").cast("double").alias("contacts")]
+    lists = limited.select("user_id", F.struct("r", "item_id", *numbers).alias("x")).groupBy("user_id").agg(F.array_sort(F.collect_list("x")).alias("xs"))
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            xs = batch["xs"]
+            size = np.diff(xs.offsets.to_numpy())
+            if not len(size):
+                continue
+            flat, row = xs.flatten(), np.repeat(np.arange(len(size)), size)
+            col = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
+
+            def matrix(name: str, kind: type, empty: float = 0) -> np.ndarray:
+                out = np.full((len(size), int(size.max())), empty, kind)
+                out[row, col] = flat.field(name).fill_null(0).to_numpy(zero_copy_only=False)
+                return out
+
+            held = np.zeros((len(size), int(size.max())), bool)
+            held[row, col] = True
+            alike = [(c[:, :, None] == c[:, None, :]) for c in (matrix(f"c{i}", np.int64) for i in range(3))]
+            novelty = scaled(-np.log1p(matrix("contacts", float)), held)
+            p = Pools(held, scaled(matrix("score", float), held), novelty, alike, matrix("agent", float), matrix("expected", np.int64, -1), np.exp(-AGEING * matrix("age", float)))
+            places, values = best_lists(p, k, weights)
+            u, step = np.nonzero(places >= 0)
+            start = np.cumsum(size) - size
+            yield pa.RecordBatch.from_arrays([batch["user_id"].take(pa.array(u)), flat.field("item_id").take(pa.array(start[u] + places[u, step])), pa.array((step + 1).astype(np.int32)), pa.array(values[u, step])], ["user_id", "item_id", "pos", "score"])
+
+    return lists.mapInArrow(choose, "user_id string, item_id string, pos int, score double")

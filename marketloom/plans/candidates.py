@@ -58,16 +58,50 @@ def g2_trend_by_city_category(t: Tables) -> DataFrame:
     return c.best(trend, ["city_name", "category"], [F.col("trend_score").desc(), F.col("item_id")], 50).select("city_name", "category", "item_id", "rank")
 
 
-@query("g2b_fair_by_city")
+def fair_sql(by: str, k: int, where: str = "") -> str:
+    """Agents and private sellers in turn: places of the queues from the sizes of the groups."""
+    return f"""WITH {TREND}, q AS (SELECT *, CASE WHEN seller_type = 'agent' THEN 0 WHEN seller_type IS NOT NULL THEN 1 ELSE 2 END AS kind FROM (SELECT *, 'all' AS level FROM trend) {where}),
+        o AS (SELECT {by}, item_id, kind, row_number() OVER (PARTITION BY {by}, kind ORDER BY trend_score DESC, item_id) AS place FROM q QUALIFY place <= {k}),
+        z AS (SELECT *, count(*) FILTER (WHERE kind = 0) OVER (PARTITION BY {by}) AS agents, count(*) FILTER (WHERE kind = 1) OVER (PARTITION BY {by}) AS private FROM o),
+        r AS (SELECT {by}, item_id, CASE kind WHEN 0 THEN least(CASE WHEN place = 1 THEN 1 ELSE floor(round((place - 1) / 0.52::DOUBLE, 9)) + 2 END, place + private)
+              WHEN 1 THEN least(CASE WHEN place = 1 THEN 2 ELSE ceil(round((place - 1) / 0.48::DOUBLE, 9)) + 1 END, place + agents) ELSE place + agents + private END::BIGINT AS rank FROM z)
+        SELECT {by}, item_id, rank FROM r WHERE rank <= {k}"""
+
+
+@query("g2b_fair_by_city", fair_sql("city_name", 100, "WHERE city_name IS NOT NULL"))
 def g2b_fair_by_city(t: Tables) -> DataFrame:
     return c.fair_top(c.burst_trend(t.pci, t.listings, CUTOFF).filter("city_name is not null"), ["city_name"], 100)
 
 
-@query("g2b_fair_global")
+@query("g2b_fair_global", fair_sql("level", 300))
 def g2b_fair_global(t: Tables) -> DataFrame:
     return c.fair_top(c.burst_trend(t.pci, t.listings, CUTOFF), [], 300)
 
 
+TREND_LEVELS = {"cc": ["city_name", "category"], "city": ["city_name"], "cat": ["category"], "global": []}
+TREND_SHOWN = 10
+
+
+@query(
+    "g2c_trend_lookup",
+    "WITH "
+    + TREND
+    + ", e AS (SELECT DISTINCT item_id FROM contact_pairs WHERE user_id IS NOT NULL AND last_date > DATE '2026-04-02'), w AS (SELECT DISTINCT city_name AS pref_city, category AS pref_cat FROM dim_listing), b AS ("
+    + " UNION ALL ".join(
+        f"SELECT pref_city, pref_cat, item_id, {i} AS level, trend_score FROM w, trend WHERE item_id NOT IN (SELECT item_id FROM e) {''.join(f' AND trend.{c} = w.{p}' for c, p in (('city_name', 'pref_city'), ('category', 'pref_cat')) if c in cols)} QUALIFY row_number() OVER (PARTITION BY pref_city, pref_cat ORDER BY trend_score DESC, item_id) <= {TREND_SHOWN}"
+        for i, cols in enumerate(TREND_LEVELS.values())
+    )
+    + "), o AS (SELECT pref_city, pref_cat, item_id, min(level) AS level, any_value(trend_score) AS trend_score FROM b GROUP BY 1, 2, 3)"
+    + f" SELECT pref_city, pref_cat, item_id, CAST(row_number() OVER (PARTITION BY pref_city, pref_cat ORDER BY level, trend_score DESC, item_id) AS INTEGER) AS rank FROM o QUALIFY rank <= {TREND_SHOWN}",
+)
+def g2c_trend_lookup(t: Tables) -> DataFrame:
+    """Ten trending items for every city and category asked for: from both, else the city, the category, all; items contacted in the last week are left out."""
+    contacted = t.contact_pairs.filter("user_id is not null and last_date > date'2026-04-02'").select("item_id").distinct()
+    trend = c.burst_trend(t.pci, t.listings, CUTOFF).join(contacted, "item_id", "left_anti")
+    wanted = t.listings.select(F.col("city_name").alias("pref_city"), F.col("category").alias("pref_cat")).distinct()
+    return c.trend_lookup(trend, wanted, TREND_LEVELS, TREND_SHOWN)
+
+
 def segment_sql(weights: str) -> str:
     """Five levels by hand; weights selects item_id, city_name, category, district_name, w."""
     parts = []

@@ -1,8 +1,10 @@
 import math
+import random
 from datetime import date, datetime
 
 import pytest
 
+from marketloom.constants import AGENT_SHARE, CATEGORY_SHARES
 from marketloom.operators import candidates, cleaning, learned, metrics, rules
 from tests.support import tuples
 
@@ -96,6 +98,65 @@ def test_fair_top_keeps_the_share(spark):
     assert candidates.fair_top(df, [], 100).count() == 17
 
 
+@pytest.mark.parametrize("share", [0.52, 0.5, 0.2, 0.9])
+def test_fair_top_takes_turns_as_the_rule_says(spark, share):
+    rows, want = [], {}
+    for g, (a, p, u) in enumerate([(0, 5, 2), (5, 0, 0), (40, 3, 1), (3, 40, 1), (30, 30, 30), (1, 1, 0), (26, 25, 0)]):
+        kinds = [("agent", a), ("private", p), (None, u)]
+        rows += [(f"g{g}", f"{kind}{i:03d}", 100.0 - i, kind) for kind, n in kinds for i in range(n)]
+        line, used = [], [0, 0, 0]
+        while len(line) < 50 and sum(used) < a + p + u:
+            wants_agent = sum(x.startswith("agent") for x in line) / max(1, len(line)) < share
+            order = (0, 1, 2) if wants_agent else (1, 0, 2)
+            turn = next(i for i in order if used[i] < kinds[i][1])
+            line.append(f"{kinds[turn][0]}{used[turn]:03d}")
+            used[turn] += 1
+        want[f"g{g}"] = line
+    df = spark.createDataFrame(rows, "city_name string, item_id string, trend_score double, seller_type string")
+    got = {}
+    for r in candidates.fair_top(df, ["city_name"], 50, share).orderBy("city_name", "rank").collect():
+        got.setdefault(r["city_name"], []).append(r["item_id"])
+    assert got == want
+
+
+def worth(chosen, weights):
+    """The value of a list apart from its last item's own accuracy and novelty, straight from the definitions."""
+    n = len(chosen)
+    pairs = [(x, y) for i, x in enumerate(chosen) for y in chosen[:i]]
+    alike = sum(0.4 * (x["category"] == y["category"]) + 0.3 * (x["city"] == y["city"]) + 0.3 * ((x["city"], x["district"]) == (y["city"], y["district"])) for x, y in pairs)
+    parts = [sum(x["category"] == c for x in chosen) / n for c in {x["category"] for x in chosen}]
+    entropy = -sum(s * math.log2(s) for s in parts)
+    diversity = 1.0 if n == 1 else 0.6 * (1 - alike / len(pairs)) + 0.4 * (entropy / math.log2(len(parts)) if len(parts) > 1 else entropy)
+    divergence = 0.0
+    for c, e in CATEGORY_SHARES.items():
+        part = sum(x["category"] == c for x in chosen) / n
+        divergence += part * math.log((part + 1e-10) / (e + 1e-10))
+    fairness = 0.6 * (1 - abs(sum(x["seller"] == "agent" for x in chosen) / n - AGENT_SHARE)) + 0.4 * math.exp(-divergence)
+    return weights[1] * diversity + weights[2] * fairness + weights[3] * sum(math.exp(-0.05 * x["age"]) for x in chosen) / n
+
+
+def test_rerank_same_as_trying_every_item(spark):
+    rng = random.Random(5)
+    weights, k, pool = (0.3, 0.3, 0.2, 0.1, 0.1), 6, 12
+    cols = "user_id string, item_id string, score double, category int, city_name string, district_name string, seller_type string, listing_age_days int, item_total_contacts bigint"
+    rows = [(f"u{u}", f"i{i:02d}", rng.random(), rng.choice([1010, 1020, 1050, 7, None]), rng.choice("xyz"), rng.choice("dn"), rng.choice(["agent", "private", None]), rng.choice([None, 1, 50]), rng.choice([None, 0, 9])) for u in range(40) for i in range(rng.choice([1, 2, 5, 20]))]
+    got = {}
+    for r in learned.rerank(spark.createDataFrame(rows, cols), k, weights, pool).orderBy("user_id", "pos").collect():
+        got.setdefault(r["user_id"], []).append((r["item_id"], round(r["score"], 9)))
+    for user in got:
+        left = sorted(({"id": r[1], "score": r[2], "category": r[3], "city": r[4], "district": r[5], "seller": r[6], "age": 30 if r[7] is None else r[7], "novel": -math.log1p(r[8] or 0)} for r in rows if r[0] == user), key=lambda x: (-x["score"], x["id"]))[:pool]
+        for name, into in (("score", "acc"), ("novel", "nov")):
+            low, high = min(x[name] for x in left), max(x[name] for x in left)
+            for x in left:
+                x[into] = (x[name] - low) / ((high - low) or 1.0)
+        line = []
+        for _ in range(min(k, len(left))):
+            value, _, pick = max(((weights[0] * x["acc"] + weights[4] * x["nov"] + worth([y for y, _ in line] + [x], weights), -i, x) for i, x in enumerate(left)), key=lambda v: (round(v[0], 9), v[1]))
+            left.remove(pick)
+            line.append((pick, value))
+        assert got[user] == [(x["id"], round(v, 9)) for x, v in line], user
+
+
 def test_greedy_rerank(spark):
     cols = "user_id string, item_id string, score double, category int, city_name string, district_name string, seller_type string, listing_age_days int, item_total_contacts bigint"
     rows = [("u", "a", 1.0, 1020, "x", "d", "agent", 1, 5), ("u", "b", 0.9, 1020, "x", "d", "agent", 1, 5), ("u", "c", 0.8, 1050, "y", "e", "private", None, None)]
