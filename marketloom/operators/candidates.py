@@ -28,6 +28,15 @@ def only_valid(df: DataFrame, valid: DataFrame | None) -> DataFrame:
     return df if valid is None else df.join(valid.select("item_id"), "item_id", "left_semi")
 
 
+def spread_out(df: DataFrame, *by: str) -> DataFrame:
+    """Partitioned by columns ahead of a step where rows fan out, whatever their size before.
+
+    Partitions of a number of their own are neither dropped in favour of those
+    before nor merged by adaptive execution.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) + 1, *by)
+
+
 def popularity(snapshots: DataFrame, k: int) -> DataFrame:
     """The k rows with the most contacts (ten times) and views; rows, not items, compete. Without counts every row scores 1."""
     have = set(snapshots.columns)
@@ -229,13 +238,14 @@ def cocontact(history: DataFrame, graph: DataFrame, exclude: DataFrame, k: int,
 PROFILE, FALLBACK = ["district_name", "category", "price_bucket"], ["city_name", "category"]
 
 
-def intent(views: DataFrame, listings: DataFrame, valid: DataFrame | None, k: int, exclude: DataFrame | None = None, fresh_cap: int = 400) -> DataFrame:
+def intent(views: DataFrame, listings: DataFrame, valid: DataFrame | None, k: int, exclude: DataFrame | None = None, most_excluded: int = 20) -> DataFrame:
     """The freshest listings of the kind a user views most, then of the wider kind.
 
-    Null attributes are values of their own. fresh_cap listings of a kind are
-    enough while a user excludes fewer than fresh_cap - k of them, which the
-    histories given as exclude are capped to.
+    Null attributes are values of their own. A user excludes most_excluded items
+    at most, which the histories given as exclude are capped to, so k listings of
+    a kind and as many more are enough.
     """
+    fresh_cap = k if exclude is None else k + most_excluded
     known = only_valid(listings, valid).select("item_id", *dict.fromkeys(PROFILE + FALLBACK), "posted_date")
     seen = views.select(*USER_ITEM).filter("user_id is not null").join(known, "item_id")
 
@@ -270,9 +280,12 @@ def user_knn(pairs: DataFrame, queries: DataFrame | None, k: int, history: int =
     near = best(others, ["item_id"], [*recent, F.col("user_id")], neighbour_cap + 1, "place").select("item_id", F.col("user_id").alias("neighbour"), "place")
     mine = items.join(asked, "user_id", "left_semi")
     paths = mine.filter(F.col("at") <= history).join(near, "item_id").filter(F.col("user_id") != F.col("neighbour"))
-    reached = best(paths, USER_ITEM, [F.col("place")], neighbour_cap, "nth").select("user_id", "neighbour")
-    theirs = items.select(F.col("user_id").alias("neighbour"), "item_id")
-    votes = reached.join(theirs, "neighbour").join(mine.select(*USER_ITEM), USER_ITEM, "left_anti").groupBy(*USER_ITEM).agg(F.count(F.lit(1)).alias("score"))
+    # who is reached in several ways is looked up once, with all of a neighbour's items in one row
+    reached = best(paths, USER_ITEM, [F.col("place")], neighbour_cap, "nth").groupBy("user_id", "neighbour").agg(F.count(F.lit(1)).alias("ways"))
+    theirs = items.groupBy(F.col("user_id").alias("neighbour")).agg(F.collect_list("item_id").alias("items"))
+    own = mine.groupBy("user_id").agg(F.collect_list("item_id").alias("own"))
+    met = spread_out(reached.join(theirs, "neighbour").select("user_id", "ways", "items"), "user_id").join(own, "user_id")
+    votes = met.select("user_id", "ways", F.explode(F.array_except("items", "own")).alias("item_id")).groupBy(*USER_ITEM).agg(F.sum("ways").alias("score"))
     return best(votes, ["user_id"], [F.col("score").desc(), F.col("item_id")], k)
 
 

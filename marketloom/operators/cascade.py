@@ -1,99 +1,146 @@
 """The budgeted cascade over candidate sources, and simpler ensembles.
 
-Sources fill each user's list in order. What a source may add depends on what
-earlier ones placed, so the plan is a fold: one source after another, each
-step a left anti join, a ranked cut and a union, all keyed by user.
+Sources fill each user's list in order, and what a source may add depends on
+what earlier ones placed. A source offers a user a few hundred candidates at
+most, so all offers of a user meet in one row, after one shuffle, and the fold
+over the sources runs inside that row with array functions.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketloom.functions.ranking import best, min_max
-from marketloom.session import cut_lineage
 
 KEY = ["user_id", "item_id"]
 #: Steps of a source: how its budget, the valid filter and the items already placed come after each other.
 CUT_FIRST, PLACED_FIRST, INDEXED, WHOLE, REST = "cut, valid, placed", "placed, cut, valid", "placed, cut", "placed", "rest"
+OFFER = "array<struct<item_id: string, valid: boolean>>"
 
 
 @dataclass(frozen=True)
 class Source:
-    """rows: (user_id, item_id, rank). For a REST source rows is a function of the places left: (user_id, left) -> rows."""
+    """rows: (user_id, item_id, rank). Those of a REST source are lists (user_id, items, turn), see rest_lists()."""
 
     name: str
-    rows: DataFrame | Callable[[DataFrame], DataFrame]
+    rows: DataFrame
     steps: str = CUT_FIRST
 
 
-def again(rows: DataFrame) -> DataFrame:
-    """Ranks without holes, in the old order."""
-    return best(rows.withColumnRenamed("rank", "old"), ["user_id"], [F.col("old"), F.col("item_id")]).drop("old")
+def with_valid(rows: DataFrame, valid: DataFrame | None) -> DataFrame:
+    """rows with a column valid: whether the item is among the valid ones."""
+    if valid is None:
+        return rows.withColumn("valid", F.lit(True))
+    known = valid.select("item_id", F.lit(True).alias("valid")).distinct()
+    return rows.join(known, "item_id", "left").fillna(False, ["valid"])
 
 
-def fold(users: DataFrame, sources: Sequence[Source], budgets: Mapping[str, int], k: int, valid: DataFrame | None = None, capped: bool = True, checkpoint_every: int = 1) -> DataFrame:
-    """(user_id, item_id, pos, source): at most k items a user, each once.
+def rest_lists(users: DataFrame, lists: DataFrame, keys: Sequence[str], other: DataFrame | None = None, valid: DataFrame | None = None, turn: Column | None = None) -> DataFrame:
+    """(user_id, items, turn) for a REST source: the list (item_id, rank) of a user's keys, shared by all users with the same.
 
-    capped cuts what a source places at its budget; without it a source may
-    place everything it was asked for. Users without any candidate give no rows.
+    Users without a match get the short list other, (item_id, rank), started
+    turn places later. Lists hold as many rows as a user can have places.
     """
-    valid_ids = None if valid is None else valid.select("item_id").distinct()
-    keep_valid = lambda df: df if valid_ids is None else df.join(valid_ids, "item_id", "left_semi")
+    made = with_valid(lists.select(*keys, "item_id", "rank"), valid).groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("rank", "item_id", "valid"))).alias("_offer"))
+    named = made.select(*[F.col(c).alias(f"_key_{c}") for c in keys], "_offer")
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_key_{c}")) for c in keys])
+    plain = lambda c: F.transform(c, lambda x: F.struct(x["item_id"].alias("item_id"), x["valid"].alias("valid")))
+    met = users.join(named, same, "left").select("user_id", plain(F.col("_offer")).alias("mine"))
+    nothing = F.array().cast(OFFER)
+    if other is None:
+        return met.select("user_id", F.coalesce("mine", nothing).alias("items"), F.lit(0).alias("turn"))
+    shown = with_valid(other.select("item_id", "rank"), valid).agg(plain(F.array_sort(F.collect_list(F.struct("rank", "item_id", "valid"))))).scalar()
+    return met.select("user_id", F.coalesce("mine", shown, nothing).alias("items"), F.when(F.col("mine").isNull(), F.lit(0) if turn is None else turn).otherwise(0).alias("turn"))
+
+
+def offers(asked: DataFrame, sources: Sequence[Source], budgets: Mapping[str, int], k: int, valid: DataFrame | None) -> DataFrame:
+    """(user_id, s0, s1, ...): what each source offers a user, in its order."""
+    parts = []
+    for i, source in enumerate(sources):
+        rows = source.rows.select(*KEY, "rank")
+        # no more than the budget, or the budget beside what others placed, can be looked at
+        most = {CUT_FIRST: budgets[source.name], PLACED_FIRST: budgets[source.name] + k, INDEXED: budgets[source.name] + k}.get(source.steps)
+        rows = rows if most is None else rows.filter(F.col("rank") <= most)
+        parts.append(rows.select(*KEY, "rank", F.lit(i).alias("at")))
+    every = with_valid(reduce(DataFrame.unionByName, parts), valid).unionByName(asked.select("user_id"), allowMissingColumns=True)
+    of = lambda i: F.array_sort(F.collect_list(F.when(F.col("at") == i, F.struct("rank", "item_id", "valid"))))
+    return every.groupBy("user_id").agg(*[of(i).alias(f"s{i}") for i in range(len(sources))]).join(asked, "user_id", "left_semi")
+
+
+def fold_lists(users: DataFrame, sources: Sequence[Source], budgets: Mapping[str, int], k: int, valid: DataFrame | None = None, capped: bool = True) -> DataFrame:
+    """(user_id, placed: array of (item_id, source)) of every user asked about."""
     asked = users.select("user_id").filter("user_id is not null").distinct()
-    placed: DataFrame | None = None
-    done = 0
+    used = [s for s in sources if s.steps != REST and budgets.get(s.name, 0) > 0]
+    lists = offers(asked, used, budgets, k, valid)
+    placed_type = "array<struct<item_id: string, source: string>>"
+    lists = lists.withColumn("placed", F.array().cast(placed_type))
+
+    def grown(lists: DataFrame, name: str, new: Column, most: int | None) -> DataFrame:
+        left = F.lit(k) - F.size("placed")
+        room = left if most is None else F.least(left, F.lit(most))
+        added = F.transform(F.slice(new, F.lit(1), room), lambda x: F.struct(x["item_id"].alias("item_id"), F.lit(name).alias("source")))
+        return lists.withColumn("placed", F.concat("placed", added))
+
+    fresh = lambda x: ~F.array_contains(F.col("placed.item_id"), x["item_id"])
+    for i, source in enumerate(used):
+        budget, offer = budgets[source.name], F.col(f"s{i}")
+        if source.steps == PLACED_FIRST:
+            new = F.filter(F.slice(F.filter(offer, fresh), 1, budget), lambda x: x["valid"])
+        elif source.steps == INDEXED:
+            new = F.slice(F.filter(offer, fresh), 1, budget)
+        else:
+            new = F.filter(offer, lambda x: x["valid"] & fresh(x))
+        lists = grown(lists, source.name, new, budget if capped else None).drop(f"s{i}")
     for source in sources:
-        budget = budgets.get(source.name, 0) if source.steps != REST else k
-        if budget <= 0:
-            continue
-        counts = None if placed is None else placed.groupBy("user_id").agg(F.count(F.lit(1)).cast("int").alias("n"))
-        left = asked.withColumn("n", F.lit(0)) if counts is None else asked.join(counts, "user_id", "left").fillna(0, ["n"])
-        left = left.filter(F.col("n") < k)
-        new = (lambda df: df) if placed is None else (lambda df, p=placed: df.join(p.select(*KEY), KEY, "left_anti"))
         if source.steps == REST:
-            rows = source.rows(left.select("user_id", (F.lit(k) - F.col("n")).alias("left"))).select(*KEY, "rank")
-            rows = new(keep_valid(rows))
-        else:
-            rows = source.rows.select(*KEY, "rank").join(left.select("user_id"), "user_id", "left_semi")
-            if source.steps == CUT_FIRST:
-                rows = new(keep_valid(rows.filter(F.col("rank") <= budget)))
-            elif source.steps == PLACED_FIRST:
-                rows = keep_valid(again(new(rows)).filter(F.col("rank") <= budget))
-            elif source.steps == INDEXED:
-                rows = again(new(rows)).filter(F.col("rank") <= budget)
-            else:
-                rows = new(keep_valid(rows))
-        rows = again(rows).join(left, "user_id")
-        limit = F.lit(k) - F.col("n")
-        if capped:
-            limit = F.least(limit, F.lit(budget))
-        rows = rows.filter(F.col("rank") <= limit).select(*KEY, (F.col("n") + F.col("rank")).alias("pos"), F.lit(source.name).alias("source"))
-        placed = rows if placed is None else placed.unionByName(rows)
-        done += 1
-        if done % checkpoint_every == 0:
-            placed = cut_lineage(placed)
-    return placed
+            lists = lists.join(source.rows.select("user_id", "items", "turn"), "user_id", "left").fillna(0, ["turn"])
+            left = F.lit(k) - F.size("placed")
+            cut = F.slice(F.coalesce("items", F.array().cast(OFFER)), F.lit(1), left)
+            shift = F.coalesce(F.try_mod(F.col("turn"), left), F.lit(0)).cast("int")
+            turned = F.concat(F.slice(cut, shift + 1, F.lit(k)), F.slice(cut, F.lit(1), shift))
+            lists = grown(lists.withColumn("cut", turned), source.name, F.filter("cut", lambda x: x["valid"] & fresh(x)), None).drop("items", "turn", "cut")
+    return lists
 
 
-def padded(placed: DataFrame, users: DataFrame, popular: DataFrame, k: int, valid: DataFrame | None = None) -> DataFrame:
-    """Lists filled up to k from a short global list (item_id, rank), skipping what a user already has.
+def fold(users: DataFrame, sources: Sequence[Source], budgets: Mapping[str, int], k: int, valid: DataFrame | None = None, capped: bool = True) -> DataFrame:
+    """(user_id, item_id, pos, source): at most k items a user, each once.
 
-    popular must hold a few hundred rows: the first 2k valid ones are enough, as
-    a user holds at most k of them already, and only those are sent to every task.
+    capped cuts what a source places at its budget; without it a source may
+    place everything it was asked for. Users without any candidate give no rows.
+    """
+    return laid_out(fold_lists(users, sources, budgets, k, valid, capped))
+
+
+def laid_out(lists: DataFrame) -> DataFrame:
+    return lists.select("user_id", F.posexplode("placed").alias("at", "x")).select("user_id", "x.item_id", (F.col("at") + 1).alias("pos"), "x.source")
+
+
+def padded_lists(lists: DataFrame, popular: DataFrame, k: int, valid: DataFrame | None = None) -> DataFrame:
+    """Lists of fold_lists() filled up to k from a short global list (item_id, rank), skipping what a user already has.
+
+    The first 2k valid rows of popular are enough, as a user holds at most k of
+    them already; they come to every task as one value.
     """
     fill = popular if valid is None else popular.join(valid.select("item_id"), "item_id", "left_semi")
-    short = fill.orderBy("rank", "item_id").limit(2 * k).select("item_id", F.col("rank").alias("r"))
-    have = placed.select(*KEY, F.lit(0).alias("p"), F.col("pos").alias("r"), "source")
-    counts = placed.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
-    lacking = users.select("user_id").filter("user_id is not null").distinct().join(counts, "user_id", "left").filter(F.coalesce("n", F.lit(0)) < k).select("user_id")
-    pad = lacking.join(F.broadcast(short), F.lit(True)).select(*KEY, F.lit(1).alias("p"), F.col("r"), F.lit("padding").alias("source"))
-    pad = pad.join(placed.select(*KEY), KEY, "left_anti")
-    return best(have.unionByName(pad), ["user_id"], [F.col("p"), F.col("r"), F.col("item_id")], k, "pos").select(*KEY, "pos", "source")
+    short = fill.orderBy("rank", "item_id").limit(2 * k).agg(F.array_sort(F.collect_list(F.struct("rank", "item_id")))).scalar()
+    lists = lists.withColumn("fill", short)
+    new = F.filter(F.coalesce("fill", F.array().cast("array<struct<rank: int, item_id: string>>")), lambda x: ~F.array_contains(F.col("placed.item_id"), x["item_id"]))
+    added = F.transform(F.slice(new, F.lit(1), F.lit(k) - F.size("placed")), lambda x: F.struct(x["item_id"].alias("item_id"), F.lit("padding").alias("source")))
+    return laid_out(lists.withColumn("placed", F.concat("placed", added)))
+
+
+def padded(placed: DataFrame, users: DataFrame, popular: DataFrame, k: int, valid: DataFrame | None = None) -> DataFrame:
+    """The same for lists that are laid out: (user_id, item_id, pos, source) for every user."""
+    asked = users.select("user_id").filter("user_id is not null").distinct()
+    lists = placed.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("pos", "item_id", "source"))).alias("x"))
+    plain = F.transform("x", lambda x: F.struct(x["item_id"].alias("item_id"), x["source"].alias("source")))
+    nothing = F.array().cast("array<struct<item_id: string, source: string>>")
+    return padded_lists(asked.join(lists, "user_id", "left").select("user_id", F.coalesce(plain, nothing).alias("placed")), popular, k, valid)
 
 
 def tracked(placed: DataFrame, names: Sequence[str], positives: DataFrame | None = None) -> DataFrame:

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from marketloom.constants import AGENT_SHARE, CATEGORY_SHARES
 from marketloom.functions.ranking import best
 from marketloom.functions.scalar import dot
+from marketloom.operators.candidates import spread_out
 from marketloom.operators.cleaning import index_pairs
 from marketloom.session import cut_lineage
 
@@ -35,11 +36,16 @@ def fit_als(scores: DataFrame, rank: int = 32, iterations: int = 5, reg: float =
     return users, items
 
 
-def nearest(queries: DataFrame, query: str, base: DataFrame, item: str, k: int, cosine: bool = False, blocks: int = 8, seen: DataFrame | None = None) -> DataFrame:
+#: Queries and items in one block of nearest().
+BLOCK_ROWS = 4096
+
+
+def nearest(queries: DataFrame, query: str, base: DataFrame, item: str, k: int, cosine: bool = False, block_rows: int = BLOCK_ROWS, seen: DataFrame | None = None) -> DataFrame:
     """(query, item, score, rank): the k largest inner products of factor rows, by blocks of matrices.
 
-    A stated set of queries meets all items: items are dealt to blocks, queries
-    copied to each, a block multiplies its matrices and gives k rows a query. Pairs of seen (query, item)
+    A stated set of queries meets all items: both are dealt to as many blocks as
+    keep one at block_rows, every pair of blocks is a task of its own that
+    multiplies two matrices and gives k rows a query. Pairs of seen (query, item)
     are left out before the cut: a query's blocks give as many rows more as it has seen pairs.
     """
     if seen is None:
@@ -47,8 +53,11 @@ def nearest(queries: DataFrame, query: str, base: DataFrame, item: str, k: int,
     else:
         seen = seen.select(query, item).distinct()
         asking = queries.join(seen.groupBy(query).agg(F.count(F.lit(1)).cast("int").alias("more")), query, "left").fillna(0, ["more"])
-    q = asking.select(F.col(query).alias("id"), F.col("factors"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(True).alias("is_query"), "more")
-    b = base.select(F.col(item).alias("id"), F.col("factors"), F.pmod(F.xxhash64(item), F.lit(blocks)).cast("int").alias("block"), F.lit(False).alias("is_query"), F.lit(0).alias("more"))
+    n_queries, n_items = (-(-df.count() // block_rows) or 1 for df in (queries, base))
+    dealt = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    q = asking.select(F.col(query).alias("id"), F.col("factors"), dealt(query, n_queries).alias("left"), every(n_items).alias("right"), F.lit(True).alias("is_query"), "more")
+    b = base.select(F.col(item).alias("id"), F.col("factors"), every(n_queries).alias("left"), dealt(item, n_items).alias("right"), F.lit(False).alias("is_query"), F.lit(0).alias("more"))
 
     def multiply(part: pd.DataFrame) -> pd.DataFrame:
         asked, stock = part[part["is_query"]], part[~part["is_query"]].sort_values("id")
@@ -67,7 +76,7 @@ def nearest(queries: DataFrame, query: str, base: DataFrame, item: str, k: int,
             out.append(pd.DataFrame({"query": ids[a + rows], "item": names[cols], "score": s[rows, cols]}))
         return pd.concat(out)
 
-    found = q.unionByName(b).groupBy("block").applyInPandas(multiply, "query string, item string, score double")
+    found = spread_out(q.unionByName(b), "left", "right").groupBy("left", "right").applyInPandas(multiply, "query string, item string, score double")
     if seen is not None:
         found = found.join(seen.select(F.col(query).alias("query"), F.col(item).alias("item")), ["query", "item"], "left_anti")
     return best(found, ["query"], [F.col("score").desc(), F.col("item")], k).select(F.col("query").alias(query), F.col("item").alias(item if item != query else "similar_id"), "score", "rank")

@@ -19,24 +19,12 @@ REGISTRY = Registry()
 query = REGISTRY.query
 
 
-def segment_source(t: Tables, segments: DataFrame, prefs: DataFrame, k: int):
+def segment_source(t: Tables, users: DataFrame, segments: DataFrame, prefs: DataFrame, k: int) -> DataFrame:
     """Items of a user's segments, as many as places are left; users without preferences get the blind list."""
-    lists = c.segment_items(segments, prefs, k)
-    blind = c.blind_list(segments, cq.blind_shares(t), k)
-
-    def rows(left: DataFrame) -> DataFrame:
-        known = left.join(prefs, "user_id")
-        a, b = known.alias("a"), lists.alias("b")
-        same = F.col("a.pref_city").eqNullSafe(F.col("b.pref_city")) & F.col("a.pref_cat").eqNullSafe(F.col("b.pref_cat"))
-        mine = a.join(b, same & (F.col("b.rank") <= F.col("a.left"))).select("user_id", "item_id", "rank")
-        unknown = left.join(prefs.select("user_id"), "user_id", "left_anti")
-        # k rows stand on the right
-        shown = unknown.join(F.broadcast(blind), F.col("rank") <= F.col("left")).select("user_id", "item_id", "rank", "left")
-        shift = c.stable_bucket(F.col("user_id"), 1 << 30) % F.col("left")
-        turned = shown.select("user_id", "item_id", (F.pmod(F.col("rank") - 1 - shift, F.col("left")) + 1).cast("int").alias("rank"))
-        return mine.unionByName(turned)
-
-    return rows
+    lists, blind = c.segment_items(segments, prefs, k), c.blind_list(segments, cq.blind_shares(t), k)
+    known = users.select("user_id").distinct().join(prefs.withColumn("known", F.lit(True)), "user_id", "left")
+    wanted = lists.withColumn("known", F.lit(True))
+    return cascade.rest_lists(known, wanted, ["known", "pref_city", "pref_cat"], blind, cq.valid_items(t), c.stable_bucket(F.col("user_id"), 1 << 30))
 
 
 def sources(t: Tables, users: DataFrame, names: list[str], k: int) -> list[cascade.Source]:
@@ -59,7 +47,7 @@ def sources(t: Tables, users: DataFrame, names: list[str], k: int) -> list[casca
         "user_knn": lambda: cascade.Source("user_knn", c.user_knn(contacts, None, BUDGETS_POOL["user_knn"])),
         "seller": lambda: cascade.Source("seller", c.seller_expansion(contacts, t.listings, valid, BUDGETS_POOL["seller"], items_per_seller=ITEMS_PER_SELLER)),
         "recent_cc": lambda: cascade.Source("recent_cc", recent_cc(), cascade.WHOLE),
-        "segpop": lambda: cascade.Source("segpop", segment_source(t, cut_lineage(cq.segments(t)), prefs, k), cascade.REST),
+        "segpop": lambda: cascade.Source("segpop", segment_source(t, users, cq.segments(t), prefs, k), cascade.REST),
     }
     return [build[n]() for n in names]
 
@@ -70,7 +58,7 @@ SHALLOW, DEEP = ([n for n in order if n != "als_view"] for order in (ORDER_TOP10
 
 def top_lists(t: Tables, names: list[str] = SHALLOW) -> DataFrame:
     users = all_users(t)
-    return cascade.fold(users, sources(t, users, names, TOP_K), BUDGETS_TOP10, TOP_K, cq.valid_items(t))
+    return cascade.fold_lists(users, sources(t, users, names, TOP_K), BUDGETS_TOP10, TOP_K, cq.valid_items(t))
 
 
 def popular(t: Tables) -> DataFrame:
@@ -78,7 +66,7 @@ def popular(t: Tables) -> DataFrame:
 
 
 def padded_lists(t: Tables, names: list[str] = SHALLOW) -> DataFrame:
-    return cascade.padded(top_lists(t, names), all_users(t), popular(t), TOP_K, cq.valid_items(t))
+    return cascade.padded_lists(top_lists(t, names), popular(t), TOP_K, cq.valid_items(t))
 
 
 @query("c1_single_user")
@@ -90,12 +78,7 @@ def c1_single_user(t: Tables) -> DataFrame:
 
 @query("c2_cascade_top10")
 def c2_cascade_top10(t: Tables) -> DataFrame:
-    return top_lists(t)
-
-
-@query("c2_cascade_with_als")
-def c2_cascade_with_als(t: Tables) -> DataFrame:
-    return top_lists(t)
+    return cascade.laid_out(top_lists(t))
 
 
 @query("c3_tracked_pool")
@@ -130,7 +113,7 @@ def c9_submission(t: Tables) -> DataFrame:
 
 @query("c10_contributions")
 def c10_contributions(t: Tables) -> DataFrame:
-    return cascade.contributions(top_lists(t))
+    return cascade.contributions(cascade.laid_out(top_lists(t)))
 
 
 TWO = """

@@ -4,6 +4,7 @@ import random
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
 from marketloom.constants import BUDGETS_POOL, ORDER_POOL, ORDER_TOP10
 from marketloom.operators import candidates as c
@@ -53,9 +54,10 @@ def test_fold_equals_simulation(spark, capped):
     frame = lambda rows: spark.createDataFrame(rows, "user_id string, item_id string, rank int")
     sources = [cs.Source(n, frame([(u, i, r + 1) for u in users for r, i in enumerate(lists[u].get(n, []))]), STEPS[n]) for n in NAMES]
     seg = frame([(u, i, r + 1) for u in users for r, i in enumerate(segment[u])])
-    sources.append(cs.Source("segpop", lambda left: seg.join(left, "user_id").filter("rank <= left").select("user_id", "item_id", "rank"), cs.REST))
     user_rows = spark.createDataFrame([(u,) for u in [*users, None, users[0]]], "user_id string")
     valid_rows = spark.createDataFrame([(i,) for i in valid], "item_id string")
+    wanted = user_rows.selectExpr("user_id", "user_id as list").distinct()
+    sources.append(cs.Source("segpop", cs.rest_lists(wanted, seg.withColumnRenamed("user_id", "list"), ["list"], valid=valid_rows), cs.REST))
     got: dict = {u: [] for u in users}
     for r in cs.fold(user_rows, sources, budgets, k, valid_rows, capped).orderBy("user_id", "pos").collect():
         got[r["user_id"]].append(r["item_id"])
@@ -63,6 +65,25 @@ def test_fold_equals_simulation(spark, capped):
     assert got == simulate(lists, segment, budgets, k, valid, capped)
 
 
+def test_the_rest_for_unknown_users_starts_at_a_place_of_their_own(spark):
+    user_rows = spark.createDataFrame([("known",), ("a",), ("b",), ("c",)], "user_id string")
+    first = spark.createDataFrame([("a", "x", 1), ("known", "y", 1)], "user_id string, item_id string, rank int")
+    lists = spark.createDataFrame([("known", "m", 1), ("known", "n", 2)], "list string, item_id string, rank int")
+    other = spark.createDataFrame([(f"o{i}", i + 1) for i in range(4)], "item_id string, rank int")
+    turn = F.expr("case user_id when 'a' then 4 when 'b' then 5 else 0 end")
+    rest = cs.rest_lists(user_rows.selectExpr("user_id", "if(user_id = 'known', user_id, null) as list"), lists, ["list"], other, None, turn)
+    got = {r["user_id"]: [x["item_id"] for x in r["placed"]] for r in cs.fold_lists(user_rows, [cs.Source("f", first), cs.Source("s", rest, cs.REST)], {"f": 2}, 4).collect()}
+    # a has three places left, so its list starts 4 % 3 places later; b starts 5 % 4 places later
+    assert got == {"known": ["y", "m", "n"], "a": ["x", "o1", "o2", "o0"], "b": ["o1", "o2", "o3", "o0"], "c": ["o0", "o1", "o2", "o3"]}
+
+
+def test_fold_is_one_shuffle_by_user_and_stores_nothing(spark):
+    rows = spark.createDataFrame([("a", "x", 1)], "user_id string, item_id string, rank int")
+    made = [cs.Source(n, rows, STEPS[n]) for n in NAMES]
+    plan_text = cs.fold_lists(rows.select("user_id"), made, dict.fromkeys(NAMES, 2), 5)._jdf.queryExecution().optimizedPlan().toString()
+    assert "checkpoint" not in plan_text.lower() and plan_text.count("collect_list") == len(NAMES)
+
+
 def test_padding_and_submission(spark):
     placed = spark.createDataFrame([("a", "x", 1, "pv"), ("a", "y", 2, "pv")], "user_id string, item_id string, pos int, source string")
     users = spark.createDataFrame([("a",), ("b",), (None,)], "user_id string")

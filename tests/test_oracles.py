@@ -10,7 +10,7 @@ from tests.support import DATA, check, oracle
 REGISTRY = catalogue.core()
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables here")
 #: Run by other tests, or too slow to run twice.
-HEAVY = {"c1_single_user", "c2_cascade_with_als", "c3_tracked_pool", "c8_lists_by_segment", "c9_submission", "c10_contributions", "g14_bpr", "c2_cascade_top10", "l1_multitask_scores"}
+HEAVY = {"c1_single_user", "c3_tracked_pool", "c8_lists_by_segment", "c9_submission", "c10_contributions", "g14_bpr", "c2_cascade_top10", "l1_multitask_scores"}
 
 
 @pytest.fixture(scope="module")
