@@ -9,6 +9,8 @@ later; only those entities and kinds are computed again from their events.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,11 +33,18 @@ def build(deltas: DataFrame) -> DataFrame:
     return deltas.groupBy("entity", "kind").agg(F.count(F.lit(1)).alias("n"), F.sum(F.coalesce("amount", F.lit(0))).alias("total"), F.max("at").alias("last"))
 
 
-def apply_deltas(state: DataFrame, deltas: DataFrame, remaining: DataFrame) -> DataFrame:
+def of_keys(events: DataFrame, keys: DataFrame) -> DataFrame:
+    """Those events (entity, kind, ...) whose entity and kind are among keys; a null kind is a kind of its own."""
+    e, k = events.alias("e"), keys.select("entity", "kind").alias("k")
+    return e.join(k, (F.col("e.entity") == F.col("k.entity")) & F.col("e.kind").eqNullSafe(F.col("k.kind")), "left_semi")
+
+
+def apply_deltas(state: DataFrame, deltas: DataFrame, remaining: DataFrame | Callable[[DataFrame], DataFrame]) -> DataFrame:
     """The state after signed deltas; remaining holds the events (entity, kind, at) that are left.
 
     remaining is read only for the entities and kinds whose latest event was
-    retracted. Entities and kinds without any event left drop out. A retraction
+    retracted. It may be a function of those keys (entity, kind), so that
+    whatever makes the events sees the keys first. Entities and kinds without any event left drop out. A retraction
     of an event that was never inserted is the caller's error and shows as a
     count below zero, which raises no error but drops the row. The new state is
     checkpointed in the shared folder.
@@ -64,7 +73,8 @@ def apply_deltas(state: DataFrame, deltas: DataFrame, remaining: DataFrame) -> D
     redo = marked.filter("doubtful").select("entity", "kind", "n", "total")
     if redo.isEmpty():
         return sure
-    again = remaining.select("entity", "kind", "at").alias("r").join(redo.alias("d"), (F.col("r.entity") == F.col("d.entity")) & F.col("r.kind").eqNullSafe(F.col("d.kind")), "left_semi").groupBy("entity", "kind").agg(F.max("at").alias("last"))
+    left = remaining(redo.select("entity", "kind")) if callable(remaining) else remaining
+    again = of_keys(left.select("entity", "kind", "at"), redo).groupBy("entity", "kind").agg(F.max("at").alias("last"))
     redone = redo.alias("d").join(again.alias("a"), (F.col("d.entity") == F.col("a.entity")) & F.col("d.kind").eqNullSafe(F.col("a.kind")), "left").select("d.entity", "d.kind", "n", "total", "last")
     return sure.unionByName(redone)
 
@@ -84,13 +94,16 @@ def by_entity(state: DataFrame) -> DataFrame:
 
 
 def wide(state: DataFrame, kinds: list[str]) -> DataFrame:
-    """One row an entity with n_, total_ and last_ columns for each kind named."""
+    """One row an entity with n_, total_ and last_ columns for each kind named.
+
+    One aggregate collects an entity's kinds into a map, and columns are looked
+    up there, so hundreds of kinds cost hundreds of projections, not aggregates.
+    """
+    named = state.filter("kind is not null").select("entity", "kind", F.struct("n", "total", "last").alias("v"))
+    maps = named.groupBy("entity").agg(F.map_from_entries(F.collect_list(F.struct("kind", "v"))).alias("m"))
+    every = state.select("entity").distinct().join(maps, "entity", "left")
     cols = []
     for k in kinds:
-        is_k = F.col("kind") == k
-        cols += [
-            F.coalesce(F.sum(F.when(is_k, F.col("n"))), F.lit(0)).alias(f"n_{k}"),
-            F.coalesce(F.sum(F.when(is_k, F.col("total"))), F.lit(0)).alias(f"total_{k}"),
-            F.max(F.when(is_k, F.col("last"))).alias(f"last_{k}"),
-        ]
-    return state.groupBy("entity").agg(*cols)
+        v = F.try_element_at("m", F.lit(k))
+        cols += [F.coalesce(v["n"], F.lit(0)).alias(f"n_{k}"), F.coalesce(v["total"], F.lit(0)).alias(f"total_{k}"), v["last"].alias(f"last_{k}")]
+    return every.select("entity", *cols)

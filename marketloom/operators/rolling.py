@@ -3,8 +3,8 @@
 Daily sums are packed into dense blocks of entities by days and multiplied by a
 banded 0/1 operator, one band per window. The calendar is cut into tiles; a
 tile also gets the days before it that its longest window reaches (its halo),
-so tiles are independent tasks. Within a task, rows arrive sorted by tile and
-entity and at most a block of entities is held in memory.
+so tiles are independent rows. An entity's daily sums meet in one row, no longer
+than the calendar, and a task holds a batch of rows and a block of entities.
 """
 
 from __future__ import annotations
@@ -61,13 +61,12 @@ def rolling_totals(
         .groupBy(F.col(entity).alias("entity"), F.when(inside, at).otherwise(F.lit(-1)).alias("at"))
         .agg(*[F.coalesce(s, F.lit(0)).cast("bigint").alias(f"m{i}") for i, s in enumerate(sums)])
     )
-    own = F.floor(F.col("at") / tile_days).cast("int")
-    placed = daily.select("*", F.explode(F.when(F.col("at") < 0, F.array(F.lit(-1))).otherwise(F.sequence(own, F.least(own + reach, F.lit(n_tiles - 1))))).alias("tile"))
-    # a marker for each entity and tile makes tiles without rows come out
-    everywhere = daily.select("entity").distinct().select("entity", F.lit(-1).alias("at"), *[F.lit(0).cast("bigint").alias(f"m{i}") for i in range(len(measures))], F.explode(F.sequence(F.lit(0), F.lit(n_tiles - 1))).alias("tile"))
-    in_halo = (F.col("tile") >= 0) & (F.col("at") >= F.col("tile") * tile_days - halo)
-    tiled = placed.filter(in_halo).unionByName(everywhere)
-    ordered = tiled.repartition("entity", "tile").sortWithinPartitions("tile", "entity", "at")
+    # an entity has a row of all its days, no longer than the calendar, and gives one row a tile with the days that the tile can see
+    lines = daily.groupBy("entity").agg(F.collect_list(F.struct("at", *[f"m{i}" for i in range(len(measures))])).alias("days"))
+    tiles = lines.select("entity", "days", F.explode(F.sequence(F.lit(0), F.lit(n_tiles - 1))).alias("tile"))
+    begin = F.col("tile") * tile_days
+    seen = F.filter("days", lambda d: (d["at"] >= 0) & (d["at"] >= begin - halo) & (d["at"] < begin + tile_days))
+    tiled = tiles.select("entity", "tile", seen.alias("days"))
 
     names = [f"{m}_{w}d" for m in measures for w in windows]
     k = len(measures)
@@ -77,57 +76,31 @@ def rolling_totals(
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = [band(w, halo, tile_days) for w in windows]
 
-        def process(t: pa.Table) -> Iterator[pa.RecordBatch]:
-            """Whole (tile, entity) groups in order; split where the tile changes or the block is full."""
-            ids = t["entity"].combine_chunks()
-            tile = t["tile"].to_numpy()
-            day_at = t["at"].to_numpy()
-            codes = ids.dictionary_encode().indices.to_numpy()
-            new = np.ones(len(tile), bool)
-            new[1:] = (codes[1:] != codes[:-1]) | (tile[1:] != tile[:-1])
-            group = np.cumsum(new) - 1
-            starts = np.flatnonzero(new)
-            values = [t[f"m{i}"].to_numpy() for i in range(k)]
-            lo = 0
-            while lo < len(starts):
-                here = tile[starts[lo]]
-                hi = min(lo + BLOCK, len(starts))
-                hi = lo + int(np.searchsorted(tile[starts[lo:hi]], here, side="right"))
-                a, b = starts[lo], starts[hi] if hi < len(starts) else len(tile)
+        for batch in batches:
+            tile, sizes = batch["tile"].to_numpy(), np.diff(batch["days"].offsets.to_numpy())
+            flat = batch["days"].flatten()
+            row, at = np.repeat(np.arange(len(tile)), sizes), flat.field("at").to_numpy()
+            values = [flat.field(f"m{i}").to_numpy() for i in range(k)]
+            for here in np.unique(tile):
+                mine = np.flatnonzero(tile == here)
                 begin = int(here) * tile_days
-                real = day_at[a:b] >= 0
-                r = (group[a:b] - lo)[real]
-                c = day_at[a:b][real] - begin + halo
                 days = min(tile_days, n_days - begin)
-                columns = {}
-                for i in range(k):
-                    dense = np.zeros((hi - lo, halo + tile_days))
-                    dense[r, c] = values[i][a:b][real]
-                    for w, op in zip(windows, bands):
-                        columns[f"{measures[i]}_{w}d"] = np.rint(dense @ op).astype(np.int64)[:, :days]
-                mask = np.ones((hi - lo, days), bool) if keep is None else keep(columns)
-                who, when = np.nonzero(mask)
-                if len(who):
-                    taken = ids.take(pa.array(starts[lo:hi][who]))
-                    yield pa.RecordBatch.from_arrays([taken, pa.array((when + begin + epoch).astype(np.int32)).cast(pa.date32()), *[pa.array(columns[n][who, when]) for n in names]], schema=out)
-                lo = hi
-
-        held: pa.Table | None = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            held = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
-            # the last group may go on in the next batch
-            tile, ent = held["tile"].to_numpy(), held["entity"].combine_chunks()
-            n = held.num_rows
-            cut = n - 1
-            while cut > 0 and tile[cut - 1] == tile[n - 1] and ent[cut - 1] == ent[n - 1]:
-                cut -= 1
-            if cut:
-                yield from process(held.slice(0, cut))
-                held = held.slice(cut)
-        if held is not None and held.num_rows:
-            yield from process(held)
+                for lo in range(0, len(mine), BLOCK):
+                    block = mine[lo : lo + BLOCK]
+                    place = np.full(len(tile), -1)
+                    place[block] = np.arange(len(block))
+                    inside = place[row] >= 0
+                    r, c = place[row][inside], at[inside] - begin + halo
+                    columns = {}
+                    for i in range(k):
+                        dense = np.zeros((len(block), halo + tile_days))
+                        dense[r, c] = values[i][inside]
+                        for w, op in zip(windows, bands):
+                            columns[f"{measures[i]}_{w}d"] = np.rint(dense @ op).astype(np.int64)[:, :days]
+                    mask = np.ones((len(block), days), bool) if keep is None else keep(columns)
+                    who, when = np.nonzero(mask)
+                    if len(who):
+                        yield pa.RecordBatch.from_arrays([batch["entity"].take(pa.array(block[who])), pa.array((when + begin + epoch).astype(np.int32)).cast(pa.date32()), *[pa.array(columns[n][who, when]) for n in names]], schema=out)
 
     schema = T.StructType([T.StructField("entity", T.StringType()), T.StructField("day", T.DateType()), *[T.StructField(n, T.LongType()) for n in names]])
-    return ordered.mapInArrow(blocks, schema).withColumnsRenamed({"entity": entity, "day": day})
+    return tiled.mapInArrow(blocks, schema).withColumnsRenamed({"entity": entity, "day": day})

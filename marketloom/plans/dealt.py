@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 from marketloom.functions.scalar import clean_label, micros
 from marketloom.operators import asof, entity_features, frequency, rolling, sessions, skew
 from marketloom.plans.registry import Registry
+from marketloom.session import scratch_dir
+from marketloom.sources import formats
 from marketloom.sources.tables import Tables
 
 REGISTRY = Registry()
@@ -146,13 +149,22 @@ def loaded_and_late(t: Tables) -> tuple[DataFrame, DataFrame]:
     return once(versions.filter(~late)), once(versions.filter(late))
 
 
+def after_batch(state: DataFrame, known: DataFrame, late: DataFrame) -> DataFrame:
+    """The state after a batch of deliveries: a late copy of a known event takes the old one back and puts the new one in."""
+    named = lambda df: df.withColumnRenamed("user_id", "entity")
+    replaced = known.join(late.select("event_id"), "event_id", "left_semi")
+
+    def left(keys: DataFrame) -> DataFrame:
+        old = entity_features.of_keys(named(known), keys).join(late.select("event_id"), "event_id", "left_anti")
+        return old.unionByName(entity_features.of_keys(named(late), keys)).withColumnRenamed("us", "at")
+
+    return entity_features.apply_deltas(state, signed(late, 1).unionByName(signed(replaced, -1)), left)
+
+
 def current_features(t: Tables) -> DataFrame:
-    """The state of the loaded deliveries after the later ones: a late copy of a known event takes the old one back and puts the new one in."""
+    """The state of the loaded deliveries after the later ones."""
     loaded, late = loaded_and_late(t)
-    state = entity_features.build(signed(loaded, 1))
-    replaced = loaded.join(late.select("event_id"), "event_id", "left_semi")
-    left = loaded.join(late.select("event_id"), "event_id", "left_anti").unionByName(late)
-    return entity_features.apply_deltas(state, signed(late, 1).unionByName(signed(replaced, -1)), signed(left, 1))
+    return after_batch(entity_features.build(signed(loaded, 1)), loaded, late)
 
 
 FEATURE_SQL = """
@@ -182,6 +194,23 @@ def p4_user_features(t: Tables) -> DataFrame:
     return rendered(entity_features.by_entity(current_features(t)))
 
 
+#: Days after which a batch of deliveries begins.
+BATCHES = ["2026-02-28", "2026-03-27", "2026-04-05"]
+
+
+@query("p4_in_batches", FEATURE_SQL.format(where="") + RENDERED_SQL)
+def p4_in_batches(t: Tables) -> DataFrame:
+    """The same features from a state that is stored after each of several batches and read again for the next."""
+    versions, spark = event_versions(t), t.spark
+    root = f"{scratch_dir(spark)}/features-{uuid.uuid4().hex}"
+    kept = lambda state: spark.read.parquet(formats.write_version(state, root))
+    begun = sum((F.coalesce((F.col("date") > F.lit(d).cast("date")).cast("int"), F.lit(0)) for d in BATCHES), F.lit(0))
+    state = kept(entity_features.build(signed(once(versions.filter(begun == 0)), 1)))
+    for i in range(1, len(BATCHES) + 1):
+        state = kept(after_batch(state, once(versions.filter(begun < i)), once(versions.filter(begun == i))))
+    return rendered(entity_features.by_entity(state))
+
+
 MAIN_KINDS = ["pageview", "other_interaction", "view_phone", "contact_chat", "contact_zalo", "contact_sms"]
 
 
@@ -261,8 +290,8 @@ ASOF_SQL = """
 
 
 def events_as_known(t: Tables) -> DataFrame:
-    hot = skew.hot_list(t.events, "item_id", "event_type")
-    return asof.as_known(t.events, "event_id", "item_id", "event_ts", t.snapshots, "loaded_at", ["date"], ["snapshot_id", "views_24h", "contacts_24h"], hot=hot)
+    hot, latest = skew.hot_and_latest(t.events, "item_id", "event_type", latest=micros(F.col("event_ts")))
+    return asof.as_known(t.events, "event_id", "item_id", "event_ts", t.snapshots, "loaded_at", ["date"], ["snapshot_id", "views_24h", "contacts_24h"], hot=hot, latest=latest)
 
 
 @query("p6_found", ASOF_SQL.format(join="") + "SELECT event_id, snapshot_id FROM j WHERE rn = 1")

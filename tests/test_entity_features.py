@@ -77,3 +77,33 @@ def test_deliveries_without_a_date_count_as_loaded(spark):
     loaded, late = dealt.loaded_and_late(SimpleNamespace(events=events))
     assert {r["event_id"] for r in loaded.collect()} == {"e1", "e2"}
     assert {r["event_id"] for r in late.collect()} == {"e3"}
+
+
+def test_several_batches_in_turn_from_a_stored_state(spark, tmp_path):
+    from marketloom.sources import formats
+
+    rng = random.Random(7)
+    live, number, state = {}, 0, None
+    for turn in range(5):
+        new = [(number + i, rng.choice(["a", "b", None]), rng.choice(["v", "w", None]), rng.choice([None, *range(9)]), rng.choice([None, 4])) for i in range(60)]
+        number += 60
+        gone = rng.sample(sorted(live.values(), key=repr), min(len(live), 25))
+        live = {r[0]: r for r in [*live.values(), *new] if r not in gone}
+        asked = []
+
+        def left(keys, rows=list(live.values()), asked=asked):
+            asked.append(keys.count())
+            return signed(spark, rows)
+
+        state = ef.build(signed(spark, new)) if state is None else ef.apply_deltas(state, signed(spark, new).unionByName(signed(spark, gone, -1)), left)
+        state = spark.read.parquet(formats.write_version(state, str(tmp_path / "features")))
+        assert state_of(state) == brute(list(live.values())), turn
+        assert sum(asked) <= 6  # doubtful keys alone
+    assert len(list((tmp_path / "features").iterdir())) == 5
+
+
+def test_hundreds_of_kinds_side_by_side(spark):
+    rows = [(i, f"u{i % 5}", f"k{i % 300:03d}", i, 1) for i in range(1500)]
+    wide = ef.wide(ef.build(signed(spark, rows)), [f"k{i:03d}" for i in range(300)])
+    got = {r["entity"]: r for r in wide.collect()}
+    assert len(wide.columns) == 901 and got["u0"]["n_k000"] == 5 and got["u0"]["last_k005"] == 1205 and got["u1"]["n_k000"] == 0 and got["u1"]["last_k000"] is None
