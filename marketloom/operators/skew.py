@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -12,22 +12,20 @@ def hot_list(df: DataFrame, key: str, spread_by: str, share: float = 0.01) -> li
 
 
 def hot_and_latest(df: DataFrame, key: str, spread_by: str, share: float = 0.01, latest: Column | None = None) -> tuple[list, object]:
-    """hot_list() and the greatest of latest over all rows.
+    """hot_list() and the greatest of latest over all rows, none where no row has a key.
 
     Rows are grouped by key and spread_by first, so a hot key is as many groups
-    as it has values there. One pass gives both.
+    as it has values there. The totals are observed in the same pass.
     """
     at = F.lit(None).cast("bigint") if latest is None else latest
-    by_both = df.groupBy(F.col(key).alias("key"), F.col(spread_by).alias("by")).agg(F.count(F.lit(1)).alias("n"), F.max(at).alias("at"))
-    by_key = by_both.groupBy("key").agg(F.sum("n").alias("n"), F.max("at").alias("at"))
-    # the 1/share largest keys, in front of them the totals of all
-    most = by_key.filter("key is not null").orderBy(F.col("n").desc(), "key").limit(int(1 / share)).select("key", "n", F.lit(None).cast("bigint").alias("at"))
-    total = by_key.select(F.lit(None).cast(by_key.schema["key"].dataType).alias("key"), "n", "at").groupBy("key").agg(F.sum("n").alias("n"), F.max("at").alias("at"))
-    rows = total.unionByName(most).collect()
-    whole = next((r for r in rows if r["key"] is None), None)
-    if whole is None:
+    seen = Observation()
+    rows = df.observe(seen, F.count(F.lit(1)).alias("n"), F.max(at).alias("at"))
+    by_both = rows.groupBy(F.col(key).alias("key"), F.col(spread_by).alias("by")).agg(F.count(F.lit(1)).alias("n"))
+    by_key = by_both.groupBy("key").agg(F.sum("n").alias("n")).filter("key is not null")
+    most = by_key.orderBy(F.col("n").desc(), "key").limit(int(1 / share)).collect()
+    if not most:
         return [], None
-    return sorted(r["key"] for r in rows if r["key"] is not None and r["n"] >= share * whole["n"]), whole["at"]
+    return sorted(r["key"] for r in most if r["n"] >= share * seen.get["n"]), seen.get["at"]
 
 
 def salt_of(key: Column, hot: list, by: Column, salts: int) -> Column:
