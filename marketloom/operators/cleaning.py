@@ -5,12 +5,14 @@ from __future__ import annotations
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.constants import EVENT_WEIGHTS, HALF_LIFE_DAYS, POSITIVE_EVENTS, REAL_CONTACTS, SESSION_ITEMS
 from marketloom.functions.ranking import modes
 from marketloom.functions.scalar import micros
+from marketloom.operators import frequency
+from marketloom.operators.relational import row_index
 
 LOGGED_IN = "is_login = 'login'"
 
@@ -151,16 +153,19 @@ def without_bounces(events: DataFrame, least_ms: int = 3000) -> DataFrame:
 def without_outliers(items: DataFrame, value: str, groups: list[str], most: float = 3.5) -> DataFrame:
     """Rows within a robust z-score of their group; null values and null groups of none drop out.
 
-    Medians are aggregates that combine before the shuffle, joined back, so a
-    large group is never gathered in one place.
+    Medians come from rows weighted by group and value and a sort inside one bin
+    of values, so a large group is never gathered in one place.
     """
-    same = lambda a, b: reduce(Column.__and__, [F.col(f"{a}.{g}").eqNullSafe(F.col(f"{b}.{g}")) for g in groups])
-    medians = items.groupBy(*groups).agg(F.median(value).alias("_median"))
-    off = items.alias("i").join(medians.alias("m"), same("i", "m")).select("i.*", "_median")
-    spread = off.groupBy(*groups).agg(F.median(F.abs(F.col(value) - F.col("_median"))).alias("_mad"))
-    scored = off.alias("i").join(spread.alias("s"), same("i", "s")).select("i.*", "_mad")
-    z = F.abs(0.6745 * (F.col(value) - F.col("_median")) / (F.col("_mad") + 1e-6))
-    return scored.filter(z <= most).drop("_median", "_mad")
+    key = F.struct(*[F.col(g) for g in groups])
+    known = items.filter(F.col(value).isNotNull()).withColumn("_key", key)
+
+    def with_median(df: DataFrame, column: str, out: str) -> DataFrame:
+        found = frequency.medians(frequency.compress(df, "_key", column)).select(F.col("key").alias("_of"), F.col("median").alias(out))
+        return df.join(found, F.col("_key").eqNullSafe(F.col("_of"))).drop("_of")
+
+    off = with_median(known, value, "_median").withColumn("_off", F.abs(F.col(value) - F.col("_median")))
+    z = 0.6745 * F.col("_off") / (F.col("_mad") + 1e-6)
+    return with_median(off, "_off", "_mad").filter(z <= most).drop("_key", "_median", "_off", "_mad")
 
 
 def without_zombies(rows: DataFrame, age: int = 60, views: int = 5) -> DataFrame:
@@ -222,15 +227,11 @@ def user_prefs(contacts: DataFrame, cold: DataFrame) -> DataFrame:
 def index_pairs(scores: DataFrame) -> DataFrame:
     """Scores with dense user and item numbers from 0 in order of id.
 
-    Ids are numbered by a running count inside ranges of ids, each range
-    continuing the count of those before, so no task sees all ids.
+    Ids are numbered inside ranges of about equal size, each range continuing
+    the count of those before, so no task sees all ids, whatever they begin with.
     """
 
     def numbered(column: str, out: str) -> DataFrame:
-        ids = scores.select(column).filter(F.col(column).isNotNull()).distinct().withColumn("head", F.substring(column, 1, 4))
-        heads = ids.groupBy("head").agg(F.count(F.lit(1)).alias("n"))
-        before = heads.select("head", (F.sum("n").over(Window.orderBy("head")) - F.col("n")).alias("before"))
-        at = F.row_number().over(Window.partitionBy("head").orderBy(column)) - 1
-        return ids.withColumn("at", at).join(before, "head").select(column, (F.col("at") + F.col("before")).alias(out))
+        return row_index(scores.select(column).filter(F.col(column).isNotNull()).distinct(), [column], out)
 
     return scores.join(numbered("user_id", "user_idx"), "user_id").join(numbered("item_id", "item_idx"), "item_id")

@@ -6,10 +6,11 @@ from collections.abc import Sequence
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.functions.ranking import best, modes
+from marketloom.operators.relational import row_index
 
 KEY = ["user_id", "item_id"]
 
@@ -27,14 +28,13 @@ def user_behavior(contacts: DataFrame, listings: DataFrame) -> DataFrame:
 def rank_share(df: DataFrame, column: str, tie: str, out: str) -> DataFrame:
     """1 - place / rows in descending order, so the largest value gives 1.
 
-    Places are counted inside equal values and continued from the number of
-    rows with larger values, so no task orders the whole table.
+    Rows are numbered inside ranges of the order, nulls behind all values, so no
+    task orders the whole table, however many rows share a value.
     """
-    sizes = df.groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
-    before = sizes.select(column, (F.sum("_n").over(Window.orderBy(F.col(column).desc())) - F.col("_n")).alias("_before"))
     total = df.agg(F.count(F.lit(1))).scalar()
-    at = F.row_number().over(Window.partitionBy(column).orderBy(tie)) - 1
-    return df.withColumn("_at", at).join(before, column).withColumn(out, 1 - (F.col("_before") + F.col("_at")) / total).drop("_at", "_before")
+    ordered = df.withColumns({"_none": F.col(column).isNull(), "_falling": -F.col(column)})
+    placed = row_index(ordered, ["_none", "_falling", tie], "_place")
+    return placed.withColumn(out, 1 - F.col("_place") / total).drop("_none", "_falling", "_place")
 
 
 def item_stats(contacts: DataFrame, views: DataFrame, recent_after: date) -> DataFrame:

@@ -45,10 +45,10 @@ def log_bins(per_octave: int = 16) -> Callable[[Column], Column]:
     return lambda v: F.floor(F.signum(v) * F.log2(1.0 + F.abs(v.cast("double"))) * per_octave).cast("int")
 
 
-def percentiles(weighted: DataFrame, shares: Sequence[float], bins: Callable[[Column], Column] | None = None) -> DataFrame:
-    """(key, p<share in percent>...): the smallest value whose weight reaches the share.
+def at_ranks(weighted: DataFrame, ranks: dict[str, Callable[[Column], Column]], bins: Callable[[Column], Column] | None = None) -> DataFrame:
+    """(key, <name>...): the value at each rank, from 1 in order of value; a rank is a function of the key's number of rows.
 
-    Exact, nulls ignored; keys with only nulls are absent. bins maps a value to
+    Nulls are ignored; keys with only nulls are absent. bins maps a value to
     a bin that never falls as the value grows; the default suits counts and
     durations. Values such as timestamps want linear bins.
     """
@@ -61,7 +61,7 @@ def percentiles(weighted: DataFrame, shares: Sequence[float], bins: Callable[[Co
         .withColumn("total", F.sum("w").over(by_key))
         .withColumn("before", F.sum("w").over(by_key.orderBy("bin")) - F.col("w"))
     )
-    wanted = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.greatest(F.ceil(F.col("total") * F.lit(s)), F.lit(1)).alias("rank")) for i, s in enumerate(shares)]))
+    wanted = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), rank(F.col("total")).cast("bigint").alias("rank")) for i, rank in enumerate(ranks.values())]))
     hit = binned.withColumn("want", wanted).select("key", "bin", "want.i", (F.col("want.rank") - F.col("before")).alias("rank"), "w").filter("rank > 0 and rank <= w")
     hit = hit.groupBy("key", "bin").agg(F.collect_list(F.struct("i", "rank")).alias("wants"))
     in_bin = Window.partitionBy("key", "bin").orderBy("value")
@@ -69,7 +69,18 @@ def percentiles(weighted: DataFrame, shares: Sequence[float], bins: Callable[[Co
     reached = r.join(h, F.col("r.key").eqNullSafe(F.col("h.key")) & (F.col("r.bin") == F.col("h.bin"))).select("r.key", "r.bin", "value", "n", "wants")
     reached = reached.withColumn("upto", F.sum("n").over(in_bin)).withColumn("want", F.explode("wants"))
     reached = reached.filter((F.col("want.rank") <= F.col("upto")) & (F.col("want.rank") > F.col("upto") - F.col("n")))
-    return reached.groupBy("key").agg(*[F.max(F.when(F.col("want.i") == i, F.col("value"))).alias(f"p{round(s * 100)}") for i, s in enumerate(shares)])
+    return reached.groupBy("key").agg(*[F.max(F.when(F.col("want.i") == i, F.col("value"))).alias(name) for i, name in enumerate(ranks)])
+
+
+def percentiles(weighted: DataFrame, shares: Sequence[float], bins: Callable[[Column], Column] | None = None) -> DataFrame:
+    """(key, p<share in percent>...): the smallest value whose weight reaches the share. Exact; see at_ranks()."""
+    return at_ranks(weighted, {f"p{round(s * 100)}": lambda total, s=s: F.greatest(F.ceil(total * F.lit(s)), F.lit(1)) for s in shares}, bins)
+
+
+def medians(weighted: DataFrame, bins: Callable[[Column], Column] | None = None) -> DataFrame:
+    """(key, median), the mean of the two values in the middle where their number is even."""
+    middle = at_ranks(weighted, {"low": lambda total: F.floor((total + 1) / 2), "high": lambda total: F.floor(total / 2) + 1}, bins)
+    return middle.select("key", ((F.col("low") + F.col("high")) / 2).alias("median"))
 
 
 def heavy_keys(df: DataFrame, key: str, value: str, share: float) -> DataFrame:

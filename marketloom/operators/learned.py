@@ -62,7 +62,7 @@ def nearest(queries: DataFrame, query: str, base: DataFrame, item: str, k: int,
     def multiply(part: pd.DataFrame) -> pd.DataFrame:
         asked, stock = part[part["is_query"]], part[~part["is_query"]].sort_values("id")
         if asked.empty or stock.empty:
-            return pd.DataFrame({"query": [], "item": [], "score": []})
+            return pd.DataFrame({"query": np.array([], object), "item": np.array([], object), "score": np.array([])})
         left, right = np.stack(asked["factors"].to_numpy()).astype(np.float64), np.stack(stock["factors"].to_numpy()).astype(np.float64)
         if cosine:
             left, right = (m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-12) for m in (left, right))

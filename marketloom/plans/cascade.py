@@ -9,7 +9,9 @@ from marketloom.constants import BUDGETS_POOL, BUDGETS_TOP10, CUTOFF, ITEMS_PER_
 from marketloom.functions.ranking import best
 from marketloom.operators import candidates as c
 from marketloom.operators import cascade, cleaning, learned
+from marketloom.operators.relational import row_index
 from marketloom.plans import candidates as cq
+from marketloom.plans import scoring
 from marketloom.plans.cleaning import all_users
 from marketloom.plans.registry import Registry
 from marketloom.session import cut_lineage
@@ -56,8 +58,8 @@ def sources(t: Tables, users: DataFrame, names: list[str], k: int) -> list[casca
 SHALLOW, DEEP = ([n for n in order if n != "als_view"] for order in (ORDER_TOP10, ORDER_POOL))
 
 
-def top_lists(t: Tables, names: list[str] = SHALLOW) -> DataFrame:
-    users = all_users(t)
+def top_lists(t: Tables, names: list[str] = SHALLOW, users: DataFrame | None = None) -> DataFrame:
+    users = all_users(t) if users is None else users
     return cascade.fold_lists(users, sources(t, users, names, TOP_K), BUDGETS_TOP10, TOP_K, cq.valid_items(t))
 
 
@@ -65,8 +67,8 @@ def popular(t: Tables) -> DataFrame:
     return cq.segments(t).filter("level = 'global'").select("item_id", "rank")
 
 
-def padded_lists(t: Tables, names: list[str] = SHALLOW) -> DataFrame:
-    return cascade.padded_lists(top_lists(t, names), popular(t), TOP_K, cq.valid_items(t))
+def padded_lists(t: Tables, names: list[str] = SHALLOW, users: DataFrame | None = None) -> DataFrame:
+    return cascade.padded_lists(top_lists(t, names, users), popular(t), TOP_K, cq.valid_items(t))
 
 
 @query("c1_single_user")
@@ -87,7 +89,7 @@ def c3_tracked_pool(t: Tables) -> DataFrame:
     users = t.contact_pairs.select("user_id").filter("user_id is not null").distinct()
     pool = cascade.fold(users, sources(t, users, DEEP, POOL_SIZE), BUDGETS_POOL, POOL_SIZE, cq.valid_items(t), capped=False)
     late = t.contact_pairs.filter("last_date > date'2026-04-02'")
-    return cascade.tracked(pool, DEEP, late)
+    return cascade.tracked(pool, ORDER_POOL, late)
 
 
 @query("c7_padded_cascade")
@@ -97,17 +99,21 @@ def c7_padded_cascade(t: Tables) -> DataFrame:
 
 @query("c8_lists_by_segment")
 def c8_lists_by_segment(t: Tables) -> DataFrame:
-    """Users with contacts get item-to-item lists, all others the padded cascade."""
-    seg = cleaning.user_segments(all_users(t), t.contact_pairs, t.events.filter("event_type = 'pageview'"))
-    history = c.user_history(t.contact_pairs)
-    warm = c.item2item(history, c.item2item_graph(t.events, cq.valid_items(t)), t.listings, None, history, TOP_K).select("user_id", "item_id", F.col("rank").alias("pos"))
-    other = cut_lineage(padded_lists(t)).select("user_id", "item_id", "pos")
+    """Users with contacts get the best of their pool by a ranker trained on earlier weeks, all others the padded cascade."""
+    seg = cut_lineage(cleaning.user_segments(all_users(t), t.contact_pairs, t.events.filter("event_type = 'pageview'")))
+    users = seg.filter("segment = 'warm'").select("user_id")
+    pool = cut_lineage(cascade.fold(users, sources(t, users, DEEP, POOL_SIZE), BUDGETS_POOL, POOL_SIZE, cq.valid_items(t), capped=False).select("user_id", "item_id"))
+    trained = cut_lineage(scoring.training_rows(t))
+    model = learned.fit_pairwise(learned.users_with_positives(trained), scoring.FEATURES)
+    table = scoring.feature_table(t, pool, CUTOFF)
+    warm = learned.ranked_by_model(model, table, scoring.FEATURES, TOP_K).select("user_id", "item_id", F.col("rank").alias("pos"))
+    other = padded_lists(t, users=seg.filter("segment != 'warm'").select("user_id")).select("user_id", "item_id", "pos")
     return cascade.by_segment(seg, {"warm": warm, "cold": other, "blind": other})
 
 
 @query("c9_submission")
 def c9_submission(t: Tables) -> DataFrame:
-    users = cleaning.index_pairs(all_users(t).withColumn("item_id", F.lit("x"))).select("user_id", F.col("user_idx").alias("user_pos"))
+    users = row_index(all_users(t).filter("user_id is not null").distinct(), ["user_id"], "user_pos")
     return cascade.submission(cut_lineage(padded_lists(t)), users)
 
 

@@ -141,18 +141,45 @@ FEATURES = [
 ]
 
 
+def feature_table(t: Tables, pairs: DataFrame, until: date) -> DataFrame:
+    """Features of (user_id, item_id) from what was known up to a day."""
+    day = F.lit(until.isoformat()).cast("date")
+    before = t.contact_pairs.filter(F.col("last_date") <= day)
+    return features.training_table(
+        pairs, features.user_behavior(before, t.listings), features.item_stats(before, cleaning.pageview_pairs(t.events.filter(F.col("date") <= day)), until),
+        features.item_quality(t.listings, until), cleaning.snapshot_stats(t.snapshots.filter(F.col("date") <= day)), before, c.user_history(before), t.listings,
+    )
+
+
 def training_rows(t: Tables) -> DataFrame:
     """Contacts up to the split and their co-contacted neighbours, labelled by contacts after it, with features from before it."""
-    before = t.contact_pairs.filter(F.col("last_date") <= F.lit(SPLIT.isoformat()).cast("date"))
-    after = t.contact_pairs.filter(F.col("last_date") > F.lit(SPLIT.isoformat()).cast("date")).filter("user_id is not null").select("user_id", "item_id").distinct().withColumn("label", F.lit(1.0))
-    history = c.user_history(before)
+    split = F.lit(SPLIT.isoformat()).cast("date")
+    before = t.contact_pairs.filter(F.col("last_date") <= split)
+    after = t.contact_pairs.filter((F.col("last_date") > split) & F.col("user_id").isNotNull()).select("user_id", "item_id").distinct().withColumn("label", F.lit(1.0))
     near = c.cocontact_graph(before, SPLIT).filter("rank <= 20").select("item_id", "co_item_id")
-    cand = history.filter("rank <= 5").join(near, "item_id").select("user_id", F.col("co_item_id").alias("item_id")).union(after.select("user_id", "item_id")).distinct()
-    table = features.training_table(
-        cand, features.user_behavior(before, t.listings), features.item_stats(before, cleaning.pageview_pairs(t.events.filter(F.col("date") <= F.lit(SPLIT.isoformat()).cast("date"))), SPLIT),
-        features.item_quality(t.listings, SPLIT), cleaning.snapshot_stats(t.snapshots.filter(F.col("date") <= F.lit(SPLIT.isoformat()).cast("date"))), before, history, t.listings,
-    )
-    return table.join(after, ["user_id", "item_id"], "left").fillna(0.0, ["label"])
+    cand = c.user_history(before).filter("rank <= 5").join(near, "item_id").select("user_id", F.col("co_item_id").alias("item_id")).union(after.select("user_id", "item_id")).distinct()
+    return feature_table(t, cand, SPLIT).join(after, ["user_id", "item_id"], "left").fillna(0.0, ["label"])
+
+
+#: Classes of a pair's outcome, from what is worth least; each stands at the place of its worth in learned.OUTCOME_VALUES.
+OUTCOMES = {"other_interaction": 2, "view_phone": 1, "contact_sms": 4, "contact_zalo": 4, "contact_chat": 3}
+
+
+@query(
+    "l1_outcomes",
+    "WITH k AS (SELECT user_id, item_id, max(CASE event_type "
+    + " ".join(f"WHEN '{kind}' THEN {i + 1}" for i, kind in enumerate(OUTCOMES))
+    + f" END) AS place FROM fact_user_events WHERE date > DATE '{SPLIT.isoformat()}' AND user_id IS NOT NULL AND item_id IS NOT NULL GROUP BY 1, 2) SELECT user_id, item_id, CASE place "
+    + " ".join(f"WHEN {i + 1} THEN {code}.0::DOUBLE" for i, code in enumerate(OUTCOMES.values()))
+    + " END AS outcome FROM k WHERE place IS NOT NULL",
+)
+def l1_outcomes(t: Tables) -> DataFrame:
+    """What became of each pair after the split: its event that is worth most."""
+    late = t.events.filter((F.col("date") > F.lit(SPLIT.isoformat()).cast("date")) & F.col("user_id").isNotNull() & F.col("item_id").isNotNull())
+    place = F.create_map(*[F.lit(x) for i, kind in enumerate(OUTCOMES) for x in (kind, i + 1)])[F.col("event_type")]
+    best_of = late.groupBy("user_id", "item_id").agg(F.max(place).alias("place")).filter("place is not null")
+    code = F.array(*[F.lit(float(x)) for x in OUTCOMES.values()])
+    return best_of.select("user_id", "item_id", F.element_at(code, F.col("place")).alias("outcome"))
 
 
 @query("x12_training_table")
@@ -375,7 +402,7 @@ def l2_pairwise_ranking(t: Tables) -> DataFrame:
 @query("l1_multitask_scores")
 def l1_multitask_scores(t: Tables) -> DataFrame:
     """A yes/no and a five-way model blended."""
-    rows = cut_lineage(training_rows(t).withColumn("outcome", F.when(F.col("label") == 0, 0.0).otherwise(1.0 + F.pmod(F.xxhash64("item_id"), F.lit(4)))))
+    rows = cut_lineage(training_rows(t).join(l1_outcomes(t), ["user_id", "item_id"], "left").fillna(0.0, ["outcome"]))
     models = learned.fit_multitask(learned.users_with_positives(rows), FEATURES)
     return learned.multitask_scores(models, rows, FEATURES).select("user_id", "item_id", "score")
 

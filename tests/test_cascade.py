@@ -121,6 +121,15 @@ def test_nearest_leaves_out_seen_items_before_the_cut(spark):
     assert got == sorted([("u", r, f"i{20 - r:03d}") for r in range(1, 11)] + [("v", r, f"i{100 - r:03d}") for r in range(1, 11)], key=repr)
 
 
+def test_nearest_without_queries_or_in_many_blocks(spark):
+    items = spark.createDataFrame([(f"i{n:03d}", [float(n), 1.0]) for n in range(50)], "item_id string, factors array<double>")
+    users = spark.createDataFrame([(f"u{n}", [1.0, float(n)]) for n in range(20)], "user_id string, factors array<double>")
+    assert learned.nearest(users.limit(0), "user_id", items, "item_id", 3).collect() == []
+    assert learned.nearest(users, "user_id", items.limit(0), "item_id", 3).collect() == []
+    one, many = (tuples(learned.nearest(users, "user_id", items, "item_id", 3, block_rows=n)) for n in (1000, 7))
+    assert one == many and len(one) == 60
+
+
 def test_cascade_offers_fifty_listings_of_a_seller(spark, monkeypatch):
     listings = spark.createDataFrame([(f"i{n:03d}", "s") for n in range(60)], "item_id string, seller_id string")
     contacts = spark.createDataFrame([("u", "i059")], "user_id string, item_id string").selectExpr("*", "date'2026-04-01' as last_date", "1 as count", "'c' as city_name", "'k' as category")
