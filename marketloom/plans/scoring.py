@@ -486,7 +486,12 @@ def g16_sequence_vectors(t: Tables) -> DataFrame:
 
 
 
-@query("f_cosine_to_label_mean")
+@query(
+    "f_cosine_to_label_mean",
+    """WITH u AS (SELECT vec_id, label, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS pos FROM embeddings),
+       m AS (SELECT label, pos, avg(x) AS y FROM u GROUP BY 1, 2)
+       SELECT vec_id, u.label, round(sum(x * y) / (sqrt(sum(x * x)) * sqrt(sum(y * y))), 5) AS cosine FROM u JOIN m ON m.label = u.label AND m.pos = u.pos GROUP BY 1, 2""",
+)
 def f_cosine_to_label_mean(t: Tables) -> DataFrame:
     """Cosine of each embedding with the mean of its label."""
     from marketloom.functions.scalar import cosine

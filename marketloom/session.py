@@ -24,6 +24,8 @@ def build_session(app: str = "marketloom", master: str | None = None, **conf: st
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.showConsoleProgress": "false",
+        # files of a checkpoint go when nothing refers to it any more
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **conf,
     }
     return b.config(map=settings).getOrCreate()

@@ -62,3 +62,13 @@ def write_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int)
 def table_info(df: DataFrame) -> DataFrame:
     """(n_rows, n_columns, n_files)."""
     return df.agg(F.count(F.lit(1)).alias("n_rows")).select("n_rows", F.lit(len(df.columns)).alias("n_columns"), F.lit(len(df.inputFiles())).alias("n_files"))
+
+
+def submission_problems(spark: SparkSession, path: str, columns: Sequence[str], most_bytes: int) -> DataFrame:
+    """(has_mark, bad_header, too_large) of a CSV written as one file: a byte order mark, other columns than asked for, more bytes than allowed."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path)
+    marked = F.hex(F.substring("content", 1, 3)) == "EFBBBF"
+    bytes_of = files.agg(F.coalesce(F.bool_or(marked), F.lit(False)).alias("has_mark"), (F.coalesce(F.sum("length"), F.lit(0)) > most_bytes).alias("too_large"))
+    head = spark.read.option("pathGlobFilter", "*.csv").text(path).limit(1).agg((F.coalesce(F.max("value"), F.lit("")) != ",".join(columns)).alias("bad_header"))
+    # one row stands on each side
+    return bytes_of.join(F.broadcast(head), F.lit(True)).select("has_mark", "bad_header", "too_large")

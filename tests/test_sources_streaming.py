@@ -79,3 +79,15 @@ def test_decayed_stream(spark, tmp_path):
     events(spark, path, [("1", "u", "i", "pageview", BASE), ("2", "u", "i", "view_phone", BASE + timedelta(days=7))])
     got = stream.run_once(stream.decayed_totals(stream.once(stream.read_events(spark, path))), "decayed", "update").collect()
     assert [round(r["score"], 6) for r in got] == [5.5]
+
+
+def test_problems_of_a_submission_file(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "u", 1, "i")], "ID bigint, user_id string, rank int, item_id string")
+    path = str(tmp_path / "good")
+    formats.write_submission(rows, path)
+    columns = ["ID", "user_id", "rank", "item_id"]
+    assert tuple(formats.submission_problems(spark, path, columns, 1000).first()) == (False, False, False)
+    assert tuple(formats.submission_problems(spark, path, columns[:3], 10).first()) == (False, True, True)
+    (tmp_path / "marked").mkdir()
+    (tmp_path / "marked" / "a.csv").write_text("ID,user_id,rank,item_id\n1,u,1,i\n", encoding="utf-8-sig")
+    assert tuple(formats.submission_problems(spark, str(tmp_path / "marked"), columns, 1000).first()) == (True, False, False)
