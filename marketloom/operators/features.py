@@ -14,6 +14,9 @@ from marketloom.operators.relational import row_index
 
 KEY = ["user_id", "item_id"]
 
+#: Patterns that features depend on. Fixed values.
+LAND_TITLES, FINE_FURNISHING = "(?iu)sổ hồng|sổ đỏ", "(?iu)cao cấp"
+
 
 def user_behavior(contacts: DataFrame, listings: DataFrame) -> DataFrame:
     """event_count, contact_rate (the mean count, which may exceed 1) and most frequent city, category, price and kind."""
@@ -58,10 +61,10 @@ def item_quality(listings: DataFrame, at: date | None = None) -> DataFrame:
         F.col("category").alias("item_cat"),
         photos.cast("double").alias("item_photos"),
         complete.cast("double").alias("item_completeness"),
-        yes(F.col("legal_status").rlike("(?iu)sổ hồng|sổ đỏ")).alias("item_has_so_hong"),
+        yes(F.col("legal_status").rlike(LAND_TITLES)).alias("item_has_so_hong"),
         F.col("project_id").isNotNull().cast("double").alias("item_is_apartment"),
         yes(F.lower("seller_type") == "agent").alias("item_is_agent"),
-        yes(F.col("furnishing").rlike("(?iu)cao cấp")).alias("item_has_noi_that_cao_cap"),
+        yes(F.col("furnishing").rlike(FINE_FURNISHING)).alias("item_has_noi_that_cao_cap"),
         F.col("price_bucket").alias("item_price"),
         F.col("ad_type").alias("item_ad_type"),
         "posted_date",

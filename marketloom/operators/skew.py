@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketloom.session import cut_lineage
+
 
 def hot_list(df: DataFrame, key: str, spread_by: str, share: float = 0.01) -> list:
     """The keys, not null, with at least a share of the rows: no more than 1/share values."""
@@ -12,20 +14,17 @@ def hot_list(df: DataFrame, key: str, spread_by: str, share: float = 0.01) -> li
 
 
 def hot_and_latest(df: DataFrame, key: str, spread_by: str, share: float = 0.01, latest: Column | None = None) -> tuple[list, object]:
-    """hot_list() and the greatest of latest over all rows, none where no row has a key.
+    """hot_list() and the greatest of latest over all rows.
 
     Rows are grouped by key and spread_by first, so a hot key is as many groups
-    as it has values there. The totals are observed in the same pass.
+    as it has values there. One row a key is stored, so the table is read once.
     """
     at = F.lit(None).cast("bigint") if latest is None else latest
-    seen = Observation()
-    rows = df.observe(seen, F.count(F.lit(1)).alias("n"), F.max(at).alias("at"))
-    by_both = rows.groupBy(F.col(key).alias("key"), F.col(spread_by).alias("by")).agg(F.count(F.lit(1)).alias("n"))
-    by_key = by_both.groupBy("key").agg(F.sum("n").alias("n")).filter("key is not null")
-    most = by_key.orderBy(F.col("n").desc(), "key").limit(int(1 / share)).collect()
-    if not most:
-        return [], None
-    return sorted(r["key"] for r in most if r["n"] >= share * seen.get["n"]), seen.get["at"]
+    by_both = df.groupBy(F.col(key).alias("key"), F.col(spread_by).alias("by")).agg(F.count(F.lit(1)).alias("n"), F.max(at).alias("at"))
+    by_key = cut_lineage(by_both.groupBy("key").agg(F.sum("n").alias("n"), F.max("at").alias("at")))
+    everything = by_key.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.max("at").alias("at")).first()
+    hot = by_key.filter(F.col("key").isNotNull() & (F.col("n") >= F.lit(share) * everything["n"])).select("key").orderBy("key").collect()
+    return [r["key"] for r in hot], everything["at"]
 
 
 def salt_of(key: Column, hot: list, by: Column, salts: int) -> Column:
