@@ -51,3 +51,16 @@ def test_lists_are_final_while_one_block_holds_all_items(spark):
     m = np.eye(3)
     found = learned.nearest(frame(spark, "u", m), "u_id", frame(spark, "i", m), "i_id", 2)
     assert "Window" not in explained(found)
+
+
+def test_als_lists_carry_what_is_asked_of_users_and_items(spark, monkeypatch):
+    """Nothing is joined to the lists any more: the plan ends with the products and the valid filter."""
+    u, i = frame(spark, "u", np.eye(3)).withColumnRenamed("u_id", "user_id"), frame(spark, "i", np.eye(3)).withColumnRenamed("i_id", "item_id")
+    monkeypatch.setattr(learned, "fit_als", lambda *_: (u, i))
+    valid = spark.createDataFrame([("i000",), ("i002",), ("i002",)], "item_id string")
+    cities, homes = spark.createDataFrame([("i000", "a")], "item_id string, city_name string"), spark.createDataFrame([("u002", "b")], "user_id string, pref_city string")
+    got = learned.als_top(None, u, 2, valid, about_users=homes, about_items=cities)
+    plan = explained(got)
+    assert "Join" not in plan[: plan.index("MapInArrow")]
+    want = [("u000", "i000", 1, None, "a"), ("u001", "i000", 2, None, "a"), ("u002", "i000", 2, "b", "a"), ("u002", "i002", 1, "b", None)]
+    assert tuples(got.select("user_id", "item_id", "rank", "pref_city", "city_name")) == want
