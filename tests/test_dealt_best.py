@@ -64,3 +64,27 @@ def test_als_lists_carry_what_is_asked_of_users_and_items(spark, monkeypatch):
     assert "Join" not in plan[: plan.index("MapInArrow")]
     want = [("u000", "i000", 1, None, "a"), ("u001", "i000", 2, None, "a"), ("u002", "i000", 2, "b", "a"), ("u002", "i002", 1, "b", None)]
     assert tuples(got.select("user_id", "item_id", "rank", "pref_city", "city_name")) == want
+
+
+def test_content_based_equals_brute_force_without_rows_of_pairs(spark, monkeypatch):
+    for name, size in (("FULL_TERMS", 3), ("SPARSE_STRIP", 4), ("SPARSE_BLOCK", 8), ("SPARSE_ROWS", 50)):
+        monkeypatch.setattr(learned, name, size)
+    rng = np.random.default_rng(8)
+    held = rng.random((90, 20)) < np.linspace(0.6, 0.02, 20)
+    held[0, 1:] = True
+    w = np.where(held, rng.random((90, 20)) + 0.1, 0)
+    w[30:60] = w[:30]  # ties
+    w = (w / np.maximum(np.linalg.norm(w, axis=1, keepdims=True), 1e-12)).round(6)
+    weights = spark.createDataFrame([(f"i{i:03d}", f"t{t}", float(w[i, t])) for i, t in zip(*np.nonzero(w))], "item string, term string, w double")
+    mine = {u: sorted(rng.choice(90, rng.integers(1, 6), replace=False).tolist()) for u in range(25)}
+    history = spark.createDataFrame([(f"u{u:02d}", f"i{i:03d}") for u, xs in mine.items() for i in xs], "user_id string, item_id string")
+    got = learned.content_based(weights, history, 7)
+    assert "MapInArrow" in explained(got)
+    want = []
+    for u, xs in mine.items():
+        v = w[xs].sum(axis=0)
+        s = (w @ v / max(np.linalg.norm(v), 1e-12)).round(12)
+        order = [i for i in np.lexsort((np.arange(90), -s)) if i not in xs and s[i] > 0][:7]
+        want += [(f"u{u:02d}", n + 1, f"i{i:03d}", round(float(s[i]), 9)) for n, i in enumerate(order)]
+    have = sorted((r["user_id"], r["rank"], r["item_id"], round(r["score"], 9)) for r in got.collect())
+    assert have == sorted(want)
