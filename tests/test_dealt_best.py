@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 
+from marketloom.operators import cascade as cs
 from marketloom.operators import learned
 from tests.support import tuples
 
@@ -88,3 +89,11 @@ def test_content_based_equals_brute_force_without_rows_of_pairs(spark, monkeypat
         want += [(f"u{u:02d}", n + 1, f"i{i:03d}", round(float(s[i]), 9)) for n, i in enumerate(order)]
     have = sorted((r["user_id"], r["rank"], r["item_id"], round(r["score"], 9)) for r in got.collect())
     assert have == sorted(want)
+
+
+def test_offers_follow_what_sources_before_can_have_placed(spark):
+    """Of 300 rows a source, a pool of 200 looks at 5, 6 + 5 and 7 + 11; everything after a source without a limit counts with 200."""
+    rows = spark.range(300).selectExpr("'u' as user_id", "concat('i', id) as item_id", "cast(id + 1 as int) as rank")
+    sources = [cs.Source("a", rows), cs.Source("b", rows, cs.INDEXED), cs.Source("c", rows, cs.PLACED_FIRST), cs.Source("d", rows, cs.WHOLE), cs.Source("e", rows, cs.INDEXED)]
+    [r] = cs.offers(rows.select("user_id").distinct(), sources, {"a": 5, "b": 6, "c": 7, "d": 8, "e": 9}, 200, None, capped=False).collect()
+    assert [len(r[f"s{i}"]) for i in range(5)] == [5, 11, 18, 300, 209]
