@@ -137,3 +137,44 @@ def test_cascade_offers_fifty_listings_of_a_seller(spark, monkeypatch):
     monkeypatch.setattr(plan.cq, "prefs", lambda t: contacts.select("user_id"))
     [source] = plan.sources(SimpleNamespace(contact_pairs=contacts, listings=listings), contacts, ["seller"], 200)
     assert source.rows.count() == BUDGETS_POOL["seller"]
+
+
+def test_a_list_shared_by_many_users_is_offered_without_rows_of_its_own(spark):
+    """The first k valid items of a segment come to the fold as one value a user; only what has to be looked up meets the valid items."""
+    users = spark.createDataFrame([("a", "x"), ("b", "x"), ("c", "y"), ("d", None)], "user_id string, kind string")
+    lists = spark.createDataFrame([("x", f"i{n}", n + 1) for n in range(6)] + [("y", "j", 4)], "kind string, item_id string, rank int")
+    first = spark.createDataFrame([("a", "i1", 1), ("b", "bad", 1), ("c", "k", 1)], "user_id string, item_id string, rank int")
+    valid = lists.select("item_id").union(spark.createDataFrame([("k",)], "item_id string"))
+    made = [cs.Source("f", first), cs.Source("s", cs.shared_lists(users, lists, ["kind"], 3), cs.WHOLE, True), cs.Source("t", first.filter("item_id = 'k'"), cs.WHOLE, True)]
+    found = cs.fold_lists(users, made, {"f": 1, "s": 3, "t": 1}, 3, valid)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("collect_list") == 3
+    got = {r["user_id"]: [x["item_id"] for x in r["placed"]] for r in found.collect()}
+    assert got == {"a": ["i1", "i0", "i2"], "b": ["i0", "i1", "i2"], "c": ["k", "j"], "d": []}
+
+
+def test_intent_lists_are_made_once_for_users_who_view_the_same(spark):
+    kinds = [("d1", 1, "p", "c1"), ("d2", 1, "p", "c1"), (None, 2, None, "c2")]
+    rows = [(f"i{n:02d}", *kinds[n % 3], f"2026-03-{n + 1:02d}") for n in range(24)]
+    listings = spark.createDataFrame(rows, "item_id string, district_name string, category int, price_bucket string, city_name string, day string").selectExpr("*", "cast(day as date) as posted_date")
+    views = spark.createDataFrame([(f"u{u}", f"i{(u * 7 + n * n) % 24:02d}") for u in range(12) for n in range(5)], "user_id string, item_id string")
+    users, lists, by = c.intent_lists(views, listings, None, 5)
+    assert lists.select(*by).distinct().count() == users.select(*by).distinct().count() < users.count() == 12
+    got = [(r["user_id"], x["item_id"], n + 1) for r in cs.shared_lists(users, lists, by, 5).collect() for n, x in enumerate(r["items"])]
+    assert sorted(got) == tuples(c.intent(views, listings, None, 5).select("user_id", "item_id", "rank"))
+
+
+def test_sellers_offer_no_more_than_can_be_left(spark):
+    """Users hold the first items of a seller, also beyond the latest contacts: k others come all the same, with doubled listings."""
+    listings = spark.createDataFrame([(f"i{n:02d}", f"s{n // 20}") for n in range(60)] + [("i07", "s0"), ("i07", "s1")], "item_id string, seller_id string")
+    pairs = spark.createDataFrame([("u", f"i{n:02d}", 1) for n in (*range(6), 21, 22)] + [("v", "i40", 1)], "user_id string, item_id string, count int").withColumn("last_date", F.lit("2026-04-01").cast("date"))
+    got = c.seller_expansion(pairs, listings, None, 4, sellers=7, items_per_seller=20).select("user_id", "rank", "item_id")
+    assert tuples(got) == [("u", 1, "i06"), ("u", 2, "i07"), ("u", 3, "i08"), ("u", 4, "i09"), *[("v", n, f"i{40 + n}") for n in range(1, 5)]]
+
+
+def test_knn_cuts_neighbours_after_the_user_is_left_out(spark):
+    """Of five users of an item, each reaches the first three others by date and id, whichever place it has itself."""
+    pairs = spark.createDataFrame([(f"u{n}", i) for n in range(5) for i in ("x", f"o{n}")], "user_id string, item_id string").selectExpr("*", "date'2026-04-01' as last_date", "1 as count")
+    got = {}
+    for r in c.user_knn(pairs, None, 10, neighbour_cap=3).collect():
+        got.setdefault(r["user_id"], set()).add((r["item_id"], r["score"]))
+    assert got == {f"u{n}": {(f"o{m}", 1) for m in [m for m in range(5) if m != n][:3]} for n in range(5)}
