@@ -97,3 +97,14 @@ def test_offers_follow_what_sources_before_can_have_placed(spark):
     sources = [cs.Source("a", rows), cs.Source("b", rows, cs.INDEXED), cs.Source("c", rows, cs.PLACED_FIRST), cs.Source("d", rows, cs.WHOLE), cs.Source("e", rows, cs.INDEXED)]
     [r] = cs.offers(rows.select("user_id").distinct(), sources, {"a": 5, "b": 6, "c": 7, "d": 8, "e": 9}, 200, None, capped=False).collect()
     assert [len(r[f"s{i}"]) for i in range(5)] == [5, 11, 18, 300, 209]
+
+
+@pytest.mark.parametrize("width", [1, 8, 13, 40])
+def test_places_that_reach_a_bound(width):
+    rng = np.random.default_rng(width)
+    reach = learned.Reach(6, 40)
+    for rows in (6, 3):
+        left, right = rng.normal(size=(rows, 3)).astype(np.float32), rng.normal(size=(width, 3)).astype(np.float32)
+        s = reach.products(left, right)
+        least = np.quantile(s, 0.8, axis=1).astype(np.float32)
+        assert [x.tolist() for x in reach.at_least(s, least)] == [x.tolist() for x in np.nonzero(s >= least[:, None])]
