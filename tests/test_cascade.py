@@ -178,3 +178,12 @@ def test_knn_cuts_neighbours_after_the_user_is_left_out(spark):
     for r in c.user_knn(pairs, None, 10, neighbour_cap=3).collect():
         got.setdefault(r["user_id"], set()).add((r["item_id"], r["score"]))
     assert got == {f"u{n}": {(f"o{m}", 1) for m in [m for m in range(5) if m != n][:3]} for n in range(5)}
+
+
+def test_lists_meet_their_user_before_they_are_laid_out(spark):
+    lists = spark.createDataFrame([("a", [("i1", "s"), ("i2", "s")]), ("b", [("i3", "s"), ("i1", "t")])], "user_id string, placed array<struct<item_id: string, source: string>>")
+    users = spark.createDataFrame([("a", 1), ("b", 0)], "user_id string, user_pos bigint")
+    found = cs.submission(lists, users)
+    assert tuples(found) == tuples(cs.submission(cs.laid_out(lists), users)) == sorted([(3, "a", 1, "i1"), (4, "a", 2, "i2"), (1, "b", 1, "i3"), (2, "b", 2, "i1")], key=repr)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("Join")
