@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marketloom.operators import candidates as c
+from marketloom.operators import cascade as cs
 from marketloom.operators import features, learned
 from tests.support import tuples
 
@@ -47,3 +48,11 @@ def test_knn_of_some_users_is_that_of_all_users_where_those_asked_vote_too(spark
     asked = spark.createDataFrame([("u1",), ("u4",), ("none",)], "user_id string")
     every = c.user_knn(pairs, None, 3).filter("user_id in ('u1', 'u4')")
     assert tuples(c.user_knn(pairs, asked, 3, all_vote=True)) == tuples(every) != []
+
+
+def test_fold_looks_items_up_by_hash(spark):
+    """Placed items are not searched one after the other for every offer; a null is never placed."""
+    rows = spark.createDataFrame([("a", "x", 1), ("a", None, 2), ("a", "y", 3)], "user_id string, item_id string, rank int")
+    made = cs.fold_lists(rows.select("user_id"), [cs.Source("p", rows, cs.PLACED_FIRST), cs.Source("q", rows, cs.CUT_FIRST)], {"p": 1, "q": 3}, 5)
+    assert [x["item_id"] for x in made.first()["placed"]] == ["x", "y"]
+    assert "array_contains" not in made._jdf.queryExecution().optimizedPlan().toString()
