@@ -72,7 +72,7 @@ def folder(spark, tmp_path_factory):
     return str(at)
 
 
-@pytest.mark.parametrize("query", ["c10_contributions", "c2_cascade_top10", "c3_tracked_pool", "c7_padded_cascade"])
+@pytest.mark.parametrize("query", ["c10_contributions", "c2_cascade_top10", "c3_tracked_pool", "c7_padded_cascade", "c9_submission"])
 def test_queries_offer_what_large_users_contacted(spark, monkeypatch, folder, query):
     """With co-contacts as the only source; before, users of 120 items gave none."""
     every = cascade.sources
